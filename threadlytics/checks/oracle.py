@@ -215,7 +215,7 @@ def totals(source: str) -> str:
         filter (company_name <> ''), '') as company_name,
       count(*) as total_mentions, count(*) filter (kind = 'post') as total_posts,
       count(*) filter (kind = 'comment') as total_comments,
-      round(avg(hype_score), 2) as avg_hype_score, round(max(hype_score), 2) as max_hype_score,
+      round(round(sum(hype_score), 9) / count(*), 2) as avg_hype_score, round(max(hype_score), 2) as max_hype_score,
       max(created_utc) as last_mentioned_at from {source} group by ticker"""
 
 
@@ -325,7 +325,7 @@ for name in ("ticker_totals", "merge_ticker_totals", "stream_ticker_totals"):
     define(name, "totals_source", f"""select * replace ({iso('last_mentioned_at')} as last_mentioned_at)
       from ({totals('totals_source')}) t""")
 define("running_ticker_hype", "event_mentions", """select upper(ticker) as ticker, event_id,
-  count(*) over w as mentions_so_far, round(avg(hype_score) over w, 6) as avg_hype_so_far,
+  count(*) over w as mentions_so_far, round(sum(hype_score) over w, 9) / count(*) over w as avg_hype_so_far,
   round(max(hype_score) over w, 6) as max_hype_so_far from event_mentions
   window w as (partition by upper(ticker) order by created_utc, event_id rows unbounded preceding)""")
 define("ticker_leaderboard", "mentions", f"""select ticker, left(company_name, 19) as company, total_mentions,
@@ -356,7 +356,9 @@ define("backfill_scope", "content", """select count(*) filter (kind = 'post') as
     and created_utc >= timestamp '2024-01-02' and created_utc < timestamp '2024-01-06'""")
 DAILY = """days as (select unnest(range(date '2024-01-01', date '2024-01-12', interval 1 day)) as day),
   waiting as (select *, date_trunc('day', created_utc) as day from content where processed_at is null),
-  hits as (select *, date_trunc('day', created_utc) as day from mentions where processed_at is null),
+  hits as (select *, date_trunc('day', created_utc) as day from mentions where processed_at is null
+    and (method = 'rule' or context_post_id in (select reddit_id from posts where processed_at is not null
+      or created_utc >= timestamp '2024-01-01' and created_utc < timestamp '2024-01-12'))),
   daily as (select strftime(day, '%Y-%m-%d') as day,
     (select count(*) from waiting w where w.day = days.day) as items,
     (select count(*) from hits h where h.day = days.day) as mentions,
@@ -383,10 +385,10 @@ define("ticker_daily_stats", "mentions content", """
   engaged as (select ticker, date, sum(engagement) as engagement from contents group by all)
   select d.ticker, d.date, count(*) as mentions_count, count(*) filter (kind = 'post') as posts_count,
     count(*) filter (kind = 'comment') as comments_count, cast(max(e.engagement) as bigint) as total_engagement,
-    round(avg(hype_score), 2) as avg_hype_score, round(max(hype_score), 2) as max_hype_score
+    round(round(sum(hype_score), 9) / count(*), 2) as avg_hype_score, round(max(hype_score), 2) as max_hype_score
   from dated d join engaged e on e.ticker = d.ticker and e.date is not distinct from d.date
   group by d.ticker, d.date""")
-define("symbol_dim", "", rf"""select count(distinct upper({trim('w')})) as symbols
+define("symbol_dim", "", rf"""select count(distinct upper({trim("replace(w, 'ß', 'SS')")})) as symbols
   from (select unnest(regexp_split_to_array(text, '[ \n]')) as w from documents) t
   where regexp_full_match(upper({trim("replace(w, 'ß', 'SS')")}), '[\p{{L}}.]{{1,6}}')""")
 define("content_union", "content", f"""select kind, reddit_id, post_reddit_id, md5(text) as text_md5,
@@ -437,7 +439,7 @@ define("stream_contextual", "inherited", """select content_reddit_id, ticker, ro
   round(hype_score, 6) as hype_score, context_post_id from inherited""")
 define("stream_daily_stats", "totals_source", """select ticker, strftime(created_utc, '%Y-%m-%d') as date,
   count(*) as mentions_count, count(*) filter (kind = 'post') as posts_count,
-  count(*) filter (kind = 'comment') as comments_count, round(avg(hype_score), 2) as avg_hype_score,
+  count(*) filter (kind = 'comment') as comments_count, round(round(sum(hype_score), 9) / count(*), 2) as avg_hype_score,
   round(max(hype_score), 2) as max_hype_score from totals_source group by 1, 2""")
 
 STUB = r"""

@@ -445,7 +445,7 @@ def merge_ticker_totals(spark, sf_dir):
 def running_ticker_hype(spark, sf_dir):
     rows = adapters.mentions(spark, sf_dir).withColumn("ticker", F.upper("ticker"))
     return aggregates.running_hype(rows, "event_id").select(
-        "ticker", "event_id", "mentions_so_far", six("avg_hype_so_far"), six("max_hype_so_far")
+        "ticker", "event_id", "mentions_so_far", "avg_hype_so_far", six("max_hype_so_far")
     )
 
 
@@ -498,12 +498,16 @@ def backfill_scope(spark, sf_dir):
     )
 
 
+def _on_record(spark, sf_dir):
+    """Mentions of the contents that were processed before."""
+    before = filters.analyzable(filters.processed(content(spark, sf_dir)))
+    return direct.direct_mentions(before, adapters.symbols(spark))
+
+
 def _backfill(spark, sf_dir, start="2024-01-01", end="2024-01-12"):
-    texts = content(spark, sf_dir)
-    stored = direct.direct_mentions(
-        filters.analyzable(filters.processed(texts)), adapters.symbols(spark)
+    result = backfill.backfill(
+        content(spark, sf_dir), adapters.symbols(spark), start, end, _on_record(spark, sf_dir)
     )
-    result = backfill.backfill(texts, adapters.symbols(spark), start, end, stored)
     return backfill.daily_report(result, start, end)
 
 
@@ -520,7 +524,10 @@ def backfill_totals(spark, sf_dir):
 @query
 def run_summary(spark, sf_dir):
     result = analysis.analyze_incremental(
-        adapters.posts(spark, sf_dir), adapters.comments(spark, sf_dir), adapters.symbols(spark)
+        adapters.posts(spark, sf_dir),
+        adapters.comments(spark, sf_dir),
+        adapters.symbols(spark),
+        _on_record(spark, sf_dir),
     )
     return aggregates.run_summary(*result)
 
@@ -590,9 +597,7 @@ def parse_responses(spark, sf_dir):
 def ticker_span(spark, sf_dir):
     keys = F.explode(F.array(*[F.lit(key) for key in SPAN_KEYS])).alias("ticker")
     rows = adapters.table(spark, sf_dir, "documents").select("doc_id", "text", keys)
-    return rows.select(
-        "doc_id", "ticker", tk.ticker_span(F.col("text"), F.col("ticker")).alias("span")
-    ).select("doc_id", "ticker", "span.*")
+    return direct.with_span(rows).select("doc_id", "ticker", "span_start", "span_end")
 
 
 @query

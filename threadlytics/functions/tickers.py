@@ -47,52 +47,38 @@ def _quoted(ticker: Column) -> Column:
     )
 
 
-def _edge(at_word: Column, look: str) -> Column:
-    """Word boundary next to a ticker character, which may itself be a word character."""
-    return F.when(at_word, f"(?{look}!{WORD})").otherwise(f"(?{look}={WORD})")
+def _after(ticker: Column) -> Column:
+    """Word boundary behind the ticker, which depends on its last character."""
+    return F.when(ticker.rlike(f"{WORD}$"), f"(?!{WORD})").otherwise(f"(?={WORD})")
 
 
-def _match_start(text: Column, pattern: Column) -> Column:
-    """0-based code-point offset of the first match, null when there is none."""
-    before = F.concat(F.lit(r"(?isu)^(.*?)"), pattern)
-    return F.length(F.call_function("regexp_extract", text, before, F.lit(1)))
+def _length_before(text: Column, pattern: Column) -> Column:
+    """Code points before the first match; the length of the text when there is none."""
+    return F.length(F.get(F.split(text, F.concat(F.lit("(?iu)"), pattern), 2), F.lit(0)))
 
 
-def ticker_span(text: Column, ticker: Column) -> Column:
-    """``struct(span_start, span_end)`` of the best place of a ticker, -1/-1 when absent.
+def length_before_tag(text: Column, ticker: Column) -> Column:
+    """Code points before the ticker written with a ``$``."""
+    return _length_before(text, F.concat(F.lit(r"\$"), _quoted(ticker), _after(ticker)))
 
-    ``$T`` wins over the bare word, and the word over a mere substring.  The regular
-    expressions only run on texts that contain the ticker at all.
+
+def length_before_word(text: Column, ticker: Column) -> Column:
+    """Code points before the ticker as a word of its own.
+
+    The look-behind comes after the ticker, so it runs at occurrences only.
     """
-    starts_word = ticker.rlike(f"^{WORD}")
-    ends_word = ticker.rlike(f"{WORD}$")
-    tail = F.concat(_quoted(ticker), _edge(ends_word, ""))
-    tagged = F.concat(F.lit(r"\$"), tail)
-    word = F.concat(_edge(starts_word, "<"), tail)
-    size = F.length(ticker)
-    loose = F.position(F.upper(ticker), F.upper(text))
-
-    def span(start: Column, width: Column) -> Column:
-        return F.struct(
-            start.cast("int").alias("span_start"), (start + width).cast("int").alias("span_end")
-        )
-
-    nowhere = span(F.lit(-1), F.lit(0))
-    usable = (size > 0) & (loose > 0)
-    return F.coalesce(
-        F.when(
-            usable & F.contains(text, F.lit("$")) & F.regexp_like(text, F.concat(F.lit("(?iu)"), tagged)),
-            span(_match_start(text, tagged), size + 1),
-        ),
-        F.when(
-            usable & F.regexp_like(text, F.concat(F.lit("(?iu)"), word)),
-            span(_match_start(text, word), size),
-        ),
-        F.when(usable, span(loose - 1, size)),
-        nowhere,
+    inside = ticker.rlike(f"^{WORD}")
+    before = F.when(inside, f"(?<!{WORD}").otherwise(f"(?<={WORD}")
+    return _length_before(
+        text, F.concat(_quoted(ticker), before, _quoted(ticker), F.lit(")"), _after(ticker))
     )
 
 
+def loose_position(text: Column, ticker: Column) -> Column:
+    """1-based place of the ticker anywhere in the upper-cased text, 0 when it is not there."""
+    return F.position(F.upper(ticker), F.upper(text))
+
+
 def extraction_confidence(ticker: Column, company_name: Column, seen: Column) -> Column:
     """0.8, more with a name and for long tickers, less for short or unseen ones."""
     size = F.length(ticker)

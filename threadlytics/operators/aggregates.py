@@ -20,6 +20,14 @@ def _of_kind(kind: str) -> Column:
     return F.count_if(F.col("kind") == kind)
 
 
+def exact(total: Column) -> Column:
+    """A sum without the noise of the order in which its parts were added.
+
+    Runs over other partitions, or after a lost executor, thus report the same means.
+    """
+    return F.round(total, 9)
+
+
 def ticker_counts(mentions: DataFrame) -> DataFrame:
     """Per ticker: posts, comments, both together, mean confidence."""
     return mentions.groupBy("ticker").agg(
@@ -96,7 +104,7 @@ def present_totals(parts: DataFrame) -> DataFrame:
         "total_mentions",
         "total_posts",
         "total_comments",
-        F.round(F.col("hype_sum") / F.col("total_mentions"), 2).alias("avg_hype_score"),
+        F.round(exact(F.col("hype_sum")) / F.col("total_mentions"), 2).alias("avg_hype_score"),
         F.round("hype_max", 2).alias("max_hype_score"),
         "last_mentioned_at",
     )
@@ -152,7 +160,7 @@ def running_hype(mentions: DataFrame, mention_id: str) -> DataFrame:
         "created_utc",
         mention_id,
         n.alias("mentions_so_far"),
-        (total / n).alias("avg_hype_so_far"),
+        (exact(total) / n).alias("avg_hype_so_far"),
         peak.alias("max_hype_so_far"),
     )
 
@@ -270,7 +278,7 @@ def daily_stats(mentions: DataFrame, content: DataFrame) -> DataFrame:
             F.sum(F.when(F.col("kind") == "comment", F.col("n")).otherwise(0)).alias(
                 "comments_count"
             ),
-            (F.sum("hype_sum") / F.sum("n")).alias("avg_hype"),
+            (exact(F.sum("hype_sum")) / F.sum("n")).alias("avg_hype"),
             F.max("hype_max").alias("max_hype"),
             F.coalesce(F.sum("engagement"), F.lit(0)).alias("total_engagement"),
         )

@@ -10,9 +10,11 @@ from threadlytics.functions.responses import RESPONSE_SCHEMA, clean_json
 from threadlytics.functions.tickers import (
     extraction_confidence,
     is_symbol_shape,
+    length_before_tag,
+    length_before_word,
+    loose_position,
     normal_symbol,
     ticker_candidates,
-    ticker_span,
 )
 from threadlytics.operators.spread import broadcast_if_small
 from threadlytics.schemas import MENTION_COLUMNS
@@ -42,24 +44,64 @@ def extract_tickers(content: DataFrame, symbols: DataFrame) -> DataFrame:
     return tags.join(broadcast_if_small(known), "ticker", "inner")
 
 
+def with_span(df: DataFrame, text: str = "text", ticker: str = "ticker") -> DataFrame:
+    """``df`` with the best place of a ticker in its text, -1/-1 when it is not there.
+
+    ``$T`` wins over the bare word, and the word over a mere substring.  Each step only runs
+    where the one before found nothing, and none where the text lacks the ticker.
+    """
+    source, symbol = F.col(text), F.col(ticker)
+    size = F.length(symbol)
+    there = F.col("loose_at") > 0
+    tagged = F.col("before_tag") < F.col("text_size")
+    word = F.col("before_word") < F.col("text_size")
+    steps = (
+        df.withColumn("text_size", F.length(source))
+        .withColumn("loose_at", F.when(size > 0, loose_position(source, symbol)).otherwise(0))
+        .withColumn(
+            "before_tag",
+            F.when(
+                there & F.contains(source, F.lit("$")), length_before_tag(source, symbol)
+            ).otherwise(F.col("text_size")),
+        )
+        .withColumn(
+            "before_word",
+            F.when(there & ~tagged, length_before_word(source, symbol)).otherwise(
+                F.col("text_size")
+            ),
+        )
+    )
+    start = (
+        F.when(~there, -1)
+        .when(tagged, F.col("before_tag"))
+        .when(word, F.col("before_word"))
+        .otherwise(F.col("loose_at") - 1)
+    )
+    width = F.when(~there, 0).when(tagged, size + 1).otherwise(size)
+    return (
+        steps.withColumn("span_start", start)
+        .withColumn("span_end", F.col("span_start") + width)
+        .drop("text_size", "loose_at", "before_tag", "before_word")
+    )
+
+
 def direct_mentions(content: DataFrame, symbols: DataFrame) -> DataFrame:
     """Mentions with span, confidence, hype and company name of each tagged text.
 
     ``content`` has the columns of ``filters.content_union``.
     """
     tagged = extract_tickers(content, symbols)
-    span = ticker_span(F.col("text"), F.col("ticker"))
-    spotted = tagged.withColumn("span", span).withColumn("hype_score", lexicon_hype(F.col("text")))
+    spotted = with_span(tagged).withColumn("hype_score", lexicon_hype(F.col("text")))
     return spotted.select(
         "kind",
         F.col("reddit_id").alias("content_reddit_id"),
         "post_reddit_id",
         "pos",
         "ticker",
-        F.col("span.span_start").alias("span_start"),
-        F.col("span.span_end").alias("span_end"),
+        "span_start",
+        "span_end",
         extraction_confidence(
-            F.col("ticker"), F.col("company_name"), F.col("span.span_start") >= 0
+            F.col("ticker"), F.col("company_name"), F.col("span_start") >= 0
         ).alias("confidence"),
         F.lit("rule").alias("method"),
         "hype_score",
@@ -86,18 +128,17 @@ def mentions_from_responses(scored: DataFrame, response: str = "response") -> Da
         .select("*", F.posexplode("json.tickers").alias("pos", "found"))
         .withColumn("ticker", F.upper(F.coalesce(F.col("found.symbol"), F.lit(""))))
         .withColumn("company_name", F.coalesce(F.col("found.name"), F.lit("")))
-        .withColumn("span", ticker_span(F.coalesce(F.col("text"), F.lit("")), F.col("ticker")))
     )
-    return parsed.select(
+    return with_span(parsed).select(
         "kind",
         F.col("reddit_id").alias("content_reddit_id"),
         "post_reddit_id",
         "pos",
         "ticker",
-        F.col("span.span_start").alias("span_start"),
-        F.col("span.span_end").alias("span_end"),
+        "span_start",
+        "span_end",
         extraction_confidence(
-            F.col("ticker"), F.col("company_name"), F.col("span.span_start") >= 0
+            F.col("ticker"), F.col("company_name"), F.col("span_start") >= 0
         ).alias("confidence"),
         F.lit("llm").alias("method"),
         "hype_score",

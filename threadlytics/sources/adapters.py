@@ -13,8 +13,7 @@ from threadlytics.sources.landing import normalize_comments, normalize_posts, va
 
 RAW_POSTS_SQL = """
 select 'p' || cast(conv_id as string) as id,
-  '  Thread ' || cast(conv_id as string) ||
-    case when r % 4 = 0 then ' $TSLA' when r % 4 = 1 then ' AAPL and GME' else '' end || ' ' as title,
+  '  Thread ' || cast(conv_id as string) || s.tags || ' ' as title,
   text as selftext,
   'https://example.org/' || cast(conv_id as string) as url,
   case when conv_id % 9 = 4 then null when conv_id % 9 = 5 then ''
@@ -29,7 +28,8 @@ select 'p' || cast(conv_id as string) as id,
   case when conv_id % 5 = 1 then '' when conv_id % 5 = 2 then null else 'stocks' end as subreddit,
   case when conv_id % 4 = 1 then null else 'DD' end as link_flair_text,
   case when conv_id % 5 = 0 then cast(1704067200 + conv_id * 7200 + 60 as bigint) end as processed_epoch
-from (select *, (conv_id * 5 + turn * 3) % 12 as r from {conversations}) t
+from {conversations} t join (values (0, ' $TSLA'), (1, ' AAPL and GME'), (2, ''), (3, '')) s(r, tags)
+  on (t.conv_id * 5 + t.turn * 3) % 4 = s.r
 where turn = 0
 """
 
@@ -42,11 +42,7 @@ select case when turn = 6 and conv_id % 10 = 9 then null
     else 't1_c' || cast(conv_id as string) || 'x' || cast(turn - 1 as string) end as parent_id,
   case when conv_id % 9 = 2 then null else 'user' || cast((conv_id + turn) % 23 as string) end as author,
   case when turn = 4 and conv_id % 10 = 3 then null when turn = 4 and conv_id % 10 = 6 then ''
-    when r = 0 then '[deleted]' when r = 1 then '  ' else text ||
-    case when r = 2 then ' LFG!!! 🚀' when r = 3 then ' diamond hands 💎🙌'
-      when r = 4 then ' not sure, seems risky' when r = 5 then ' bought $gme'
-      when r = 6 then ' AAPL calls' when r = 7 then ' 🚀 TSLA and brk.b'
-      when r = 8 then ' holding' else '' end end as body,
+    else s.own || repeat(text, s.copies) || s.tags end as body,
   case when conv_id % 11 = 10 and turn = 2 then cast(0 as bigint)
     when conv_id % 11 = 9 and turn = 2 then null
     else cast(1704067200 + conv_id * 7200 + turn * 60 as bigint) end as created_utc,
@@ -56,7 +52,11 @@ select case when turn = 6 and conv_id % 10 = 9 then null
   case when (conv_id + turn) % 4 < 2 then split('wholesome', ',') end as awardings,
   case when conv_id % 6 = 0 and turn = 1 then cast(1704067200 + conv_id * 7200 + 90 as bigint) end
     as processed_epoch
-from (select *, (conv_id * 5 + turn * 3) % 12 as r from {conversations}) t
+from {conversations} t join (values (0, '[deleted]', 0, ''), (1, '  ', 0, ''), (2, '', 1, ' LFG!!! 🚀'),
+    (3, '', 1, ' diamond hands 💎🙌'), (4, '', 1, ' not sure, seems risky'), (5, '', 1, ' bought $gme'),
+    (6, '', 1, ' AAPL calls'), (7, '', 1, ' 🚀 TSLA and brk.b'), (8, '', 1, ' holding'),
+    (9, '', 1, ''), (10, '', 1, ''), (11, '', 1, '')) s(r, own, copies, tags)
+  on (t.conv_id * 5 + t.turn * 3) % 12 = s.r
 where turn > 0
 """
 

@@ -145,7 +145,7 @@ def current_daily_stats(spark: SparkSession, path: str) -> DataFrame:
         "mentions_count",
         "posts_count",
         "comments_count",
-        F.round(F.col("hype_sum") / F.col("mentions_count"), 2).alias("avg_hype_score"),
+        F.round(aggregates.exact(F.col("hype_sum")) / F.col("mentions_count"), 2).alias("avg_hype_score"),
         F.round("max_hype", 2).alias("max_hype_score"),
     )
 
