@@ -54,7 +54,7 @@ def six(name: str):
     return F.round(name, 6).alias(name)
 
 
-def content(spark: SparkSession, sf_dir: str, read=adapters.table) -> DataFrame:
+def content(spark: SparkSession, sf_dir: str, read=adapters.texts) -> DataFrame:
     return filters.content_union(
         adapters.posts(spark, sf_dir, read), adapters.comments(spark, sf_dir, read)
     )
@@ -282,7 +282,7 @@ def post_text(spark, sf_dir):
 @query
 def likely_financial(spark, sf_dir):
     """Documents as posts whose title is the source."""
-    documents = adapters.table(spark, sf_dir, "documents").withColumnRenamed("source", "title")
+    documents = adapters.texts(spark, sf_dir, "documents").withColumnRenamed("source", "title")
     return filters.likely_financial(documents).select("doc_id")
 
 
@@ -557,7 +557,7 @@ def ticker_daily_stats(spark, sf_dir):
 @query
 def symbol_dim(spark, sf_dir):
     """Words of the documents that have the shape of a symbol, and how many there are."""
-    words = adapters.table(spark, sf_dir, "documents").select(
+    words = adapters.texts(spark, sf_dir, "documents").select(
         F.explode(F.split("text", "[ \n]")).alias("symbol")
     )
     return aggregates.symbol_count(direct.symbol_dim(words))
@@ -596,7 +596,7 @@ def parse_responses(spark, sf_dir):
 @query
 def ticker_span(spark, sf_dir):
     keys = F.explode(F.array(*[F.lit(key) for key in SPAN_KEYS])).alias("ticker")
-    rows = adapters.table(spark, sf_dir, "documents").select("doc_id", "text", keys)
+    rows = adapters.texts(spark, sf_dir, "documents").select("doc_id", "text", keys)
     return direct.with_span(rows).select("doc_id", "ticker", "span_start", "span_end")
 
 
@@ -616,7 +616,7 @@ def extraction_confidence(spark, sf_dir):
 
 @query
 def lexicon_hype(spark, sf_dir):
-    texts = adapters.table(spark, sf_dir, "documents").select(
+    texts = adapters.texts(spark, sf_dir, "documents").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text"
     ).unionByName(content(spark, sf_dir).select(F.col("reddit_id").alias("id"), "text"))
     return texts.select("id", F.round(hype.lexicon_hype(F.col("text")), 6).alias("hype"))
@@ -647,7 +647,7 @@ def extract_tickers(spark, sf_dir):
 @query
 def base36_id(spark, sf_dir):
     """Base-36 values of all words of each document, as a count and a checksum."""
-    words = adapters.table(spark, sf_dir, "documents").select(
+    words = adapters.texts(spark, sf_dir, "documents").select(
         "doc_id", F.explode(F.split("text", "[ \n]")).alias("word")
     )
     value = tx.base36_id(F.col("word"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -88,10 +90,7 @@ def is_likely_financial(title: Column, body: Column) -> Column:
     loud = F.upper(
         F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(body, F.lit("")))
     )
-    return F.exists(
-        F.array(*[F.lit(word) for word in FINANCIAL_INDICATORS]),
-        lambda word: F.contains(loud, word),
-    )
+    return loud.rlike("|".join(re.escape(word) for word in FINANCIAL_INDICATORS))
 
 
 def first_filled_array(first: Column, second: Column) -> Column:

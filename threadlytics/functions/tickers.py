@@ -41,37 +41,29 @@ def ticker_candidates(text: Column) -> Column:
     return F.array_except(F.array_distinct(bare), F.array(*[F.lit(w) for w in STOP_WORDS]))
 
 
-def _quoted(ticker: Column) -> Column:
-    return F.concat(
-        F.lit(r"\Q"), F.replace(ticker, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")
-    )
-
+# A word boundary: a word character on exactly one side.
+BOUNDARY = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
+# The ticker stands before the text, set off by a NUL, and is referred back to.  The
+# patterns are the same for every row, so they are compiled once.
+TAG_PATTERN = rf"(?isu)^([^\x00]*)\x00.*?\$\1{BOUNDARY}"
+WORD_PATTERN = rf"(?isu)^([^\x00]*)\x00.*?(?=\1){BOUNDARY}\1{BOUNDARY}"
 
-def _after(ticker: Column) -> Column:
-    """Word boundary behind the ticker, which depends on its last character."""
-    return F.when(ticker.rlike(f"{WORD}$"), f"(?!{WORD})").otherwise(f"(?={WORD})")
 
-
-def _length_before(text: Column, pattern: Column) -> Column:
-    """Code points before the first match; the length of the text when there is none."""
-    return F.length(F.get(F.split(text, F.concat(F.lit("(?iu)"), pattern), 2), F.lit(0)))
+def _length_before(text: Column, ticker: Column, pattern: str, extra: int) -> Column:
+    """Code points before the first match, negative when there is none."""
+    joined = F.concat(ticker, F.lit("\x00"), text)
+    matched = F.length(F.regexp_extract(joined, pattern, 0))
+    return matched - F.length(ticker) * 2 - 1 - extra
 
 
 def length_before_tag(text: Column, ticker: Column) -> Column:
-    """Code points before the ticker written with a ``$``."""
-    return _length_before(text, F.concat(F.lit(r"\$"), _quoted(ticker), _after(ticker)))
+    """Code points before the ticker written with a ``$``, negative when there is none."""
+    return _length_before(text, ticker, TAG_PATTERN, 1)
 
 
 def length_before_word(text: Column, ticker: Column) -> Column:
-    """Code points before the ticker as a word of its own.
-
-    The look-behind comes after the ticker, so it runs at occurrences only.
-    """
-    inside = ticker.rlike(f"^{WORD}")
-    before = F.when(inside, f"(?<!{WORD}").otherwise(f"(?<={WORD}")
-    return _length_before(
-        text, F.concat(_quoted(ticker), before, _quoted(ticker), F.lit(")"), _after(ticker))
-    )
+    """Code points before the ticker as a word of its own, negative when there is none."""
+    return _length_before(text, ticker, WORD_PATTERN, 0)
 
 
 def loose_position(text: Column, ticker: Column) -> Column:

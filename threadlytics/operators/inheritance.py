@@ -71,13 +71,17 @@ def comments_in_context(comments: DataFrame, mentions: DataFrame) -> DataFrame:
 
 
 def contextual_inheritance(
-    comments: DataFrame, mentions: DataFrame, scored: DataFrame | None = None
+    comments: DataFrame,
+    mentions: DataFrame,
+    scored: DataFrame | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Mentions that excited, untagged comments take from the tickers of their post.
 
     ``scored`` replaces the native hype score: comments with a ``hype_score`` column, for
     example from ``scoring.hype_with``.  The threshold is applied before the join, and the
-    comments of a very busy post are split over many tasks.
+    comments of a very busy post are split over many tasks; ``hot`` names such posts, by
+    default those with many rows in ``comments``.
     """
     if scored is None:
         scored = contextual_hype(analyzable_comments(without_direct(comments, mentions)))
@@ -89,7 +93,7 @@ def contextual_inheritance(
         post_context(mentions),
         "post_reddit_id",
         F.col("reddit_id"),
-        hot=hot_keys(comments, "post_reddit_id"),
+        hot=hot_keys(comments, "post_reddit_id") if hot is None else hot,
     )
     return pairs.select(
         F.lit("comment").alias("kind"),

@@ -53,22 +53,19 @@ def with_span(df: DataFrame, text: str = "text", ticker: str = "ticker") -> Data
     source, symbol = F.col(text), F.col(ticker)
     size = F.length(symbol)
     there = F.col("loose_at") > 0
-    tagged = F.col("before_tag") < F.col("text_size")
-    word = F.col("before_word") < F.col("text_size")
+    tagged = F.col("before_tag") >= 0
+    word = F.col("before_word") >= 0
     steps = (
-        df.withColumn("text_size", F.length(source))
-        .withColumn("loose_at", F.when(size > 0, loose_position(source, symbol)).otherwise(0))
+        df.withColumn("loose_at", F.when(size > 0, loose_position(source, symbol)).otherwise(0))
         .withColumn(
             "before_tag",
             F.when(
                 there & F.contains(source, F.lit("$")), length_before_tag(source, symbol)
-            ).otherwise(F.col("text_size")),
+            ).otherwise(-1),
         )
         .withColumn(
             "before_word",
-            F.when(there & ~tagged, length_before_word(source, symbol)).otherwise(
-                F.col("text_size")
-            ),
+            F.when(there & ~tagged, length_before_word(source, symbol)).otherwise(-1),
         )
     )
     start = (
@@ -81,7 +78,7 @@ def with_span(df: DataFrame, text: str = "text", ticker: str = "ticker") -> Data
     return (
         steps.withColumn("span_start", start)
         .withColumn("span_end", F.col("span_start") + width)
-        .drop("text_size", "loose_at", "before_tag", "before_word")
+        .drop("loose_at", "before_tag", "before_word")
     )
 
 

@@ -31,6 +31,18 @@ def broadcast_if_small(
     return F.broadcast(df) if size["n"] <= max_rows and size["b"] <= max_bytes else df
 
 
+def widen(scan: DataFrame) -> DataFrame:
+    """A plain scan with at least one partition per core.
+
+    Long texts in few files would otherwise keep a few tasks busy with costly expressions.
+    A scan with enough splits, as any large table has, is returned as it is.
+    """
+    if scan.isStreaming:
+        return scan
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def hot_keys(
     df: DataFrame, key: str, rows_per_slot: int = ROWS_PER_SLOT, keys: int = SPLIT_KEYS
 ) -> DataFrame:

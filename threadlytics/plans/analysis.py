@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlytics.operators import filters, inheritance, mentions as direct
+from threadlytics.operators.spread import hot_keys
 from threadlytics.session import cut_lineage
 
 
@@ -44,8 +45,10 @@ def analyze_with_context(
     found = cut_lineage(direct.direct_mentions(items, symbols))
     waiting = _of_kind(items, "comment").withColumnRenamed("text", "body")
     keen = inheritance.contextual_hype(inheritance.without_direct(waiting, found))
+    # Counted over all comments, so that only their post ids are read for it.
+    busy = hot_keys(_of_kind(content, "comment"), "post_reddit_id")
     inherited = inheritance.contextual_inheritance(
-        waiting, _known_posts(stored, found), scored=keen
+        waiting, _known_posts(stored, found), scored=keen, hot=busy
     )
     return Analysis(items, found.unionByName(inherited))
 

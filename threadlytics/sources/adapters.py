@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadlytics.operators.spread import widen
 from threadlytics.sources.landing import normalize_comments, normalize_posts, valid_comments
 
 RAW_POSTS_SQL = """
@@ -144,6 +145,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose columns are costly to look through, on all cores."""
+    return widen(table(spark, sf_dir, name))
+
+
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return (
         spark.readStream.schema(table(spark, sf_dir, name).schema)
@@ -156,23 +162,23 @@ def _sql(spark: SparkSession, query: str, sf_dir: str, name: str, read=table) ->
     return spark.sql(query, **{name: read(spark, sf_dir, name)})
 
 
-def raw_posts(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
+def raw_posts(spark: SparkSession, sf_dir: str, read=texts) -> DataFrame:
     return _sql(spark, RAW_POSTS_SQL, sf_dir, "conversations", read).withColumn(
         "processed_at", F.timestamp_seconds("processed_epoch")
     )
 
 
-def raw_comments(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
+def raw_comments(spark: SparkSession, sf_dir: str, read=texts) -> DataFrame:
     return _sql(spark, RAW_COMMENTS_SQL, sf_dir, "conversations", read).withColumn(
         "processed_at", F.timestamp_seconds("processed_epoch")
     )
 
 
-def posts(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
+def posts(spark: SparkSession, sf_dir: str, read=texts) -> DataFrame:
     return normalize_posts(raw_posts(spark, sf_dir, read), keep=("processed_at",))
 
 
-def comments(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
+def comments(spark: SparkSession, sf_dir: str, read=texts) -> DataFrame:
     return normalize_comments(
         valid_comments(raw_comments(spark, sf_dir, read)), keep=("processed_at",)
     )
@@ -197,11 +203,11 @@ def mentions(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sql(spark, RESPONSES_SQL, sf_dir, "events")
+    return _sql(spark, RESPONSES_SQL, sf_dir, "events", texts)
 
 
 def ticker_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sql(spark, TICKER_RESPONSES_SQL, sf_dir, "events")
+    return _sql(spark, TICKER_RESPONSES_SQL, sf_dir, "events", texts)
 
 
 def symbols(spark: SparkSession) -> DataFrame:
