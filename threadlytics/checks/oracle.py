@@ -224,7 +224,7 @@ define("read_submissions", "raw_posts", """select id, md5(selftext) as text_md5,
 define("read_comments", "raw_comments", """select id, post_id, parent_id, md5(body) as body_md5, created_utc,
   score, true as well_formed from raw_comments""")
 define("top_posts_of_day", "posts", f"""select reddit_id, title, score, {iso('created_utc')} as created_utc
-  from posts where created_utc > timestamp '2024-01-04' and created_utc <= timestamp '2024-01-05'
+  from posts where created_utc > timestamp '2024-01-01' and created_utc <= timestamp '2024-01-02'
   order by score desc, reddit_id limit 3""")
 define("normalize_posts", "posts", f"""select * exclude (processed_at) replace (md5(text) as text,
     {iso('created_utc')} as created_utc),

@@ -33,6 +33,7 @@ from threadlytics.streaming import jobs
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 AS_OF = "2024-01-05 00:00:00"
+DAY_END = "2024-01-02 00:00:00"
 RANGE = ("2024-01-02", "2024-01-06")
 SPAN_KEYS = ["TO", "DER", "NDLY", "THE", "ZZZZ"]
 
@@ -108,7 +109,7 @@ def read_comments(spark, sf_dir):
 
 @query
 def top_posts_of_day(spark, sf_dir):
-    top = filters.top_posts_of_day(adapters.posts(spark, sf_dir), AS_OF, 3)
+    top = filters.top_posts_of_day(adapters.posts(spark, sf_dir), DAY_END, 3)
     return aggregates.iso_time(top, "created_utc").select(
         "reddit_id", "title", "score", "created_utc"
     )
@@ -729,33 +730,44 @@ def stream_ticker_totals(spark, sf_dir):
 
 
 def stub_extractor():
-    """A deterministic scorer: fenced or plain responses, some unusable, some failing."""
+    """Maker of a deterministic scorer: fenced or plain responses, some unusable or failing.
 
-    def reply(text: str) -> str:
-        if "risky" in text:
-            return "I cannot tell."
-        if "holding" in text:
-            raise ValueError("refused")
-        listed = [{"symbol": s.lower(), "name": ""} for s in ("TSLA", "GME") if s in text]
-        body = json.dumps({"tickers": listed, "hype_score": 0.5})
-        return f"```json\n{body}\n```" if "TSLA" in text else f"Sure! {body}"
+    The maker is a local function, so it travels to the workers by value.
+    """
 
-    return lambda texts: [reply(text) for text in texts]
+    def make():
+        def reply(text: str) -> str:
+            if "risky" in text:
+                return "I cannot tell."
+            if "holding" in text:
+                raise ValueError("refused")
+            listed = [{"symbol": s.lower(), "name": ""} for s in ("TSLA", "GME") if s in text]
+            body = json.dumps({"tickers": listed, "hype_score": 0.5})
+            return f"```json\n{body}\n```" if "TSLA" in text else f"Sure! {body}"
+
+        return lambda texts: [reply(text) for text in texts]
+
+    return make
 
 
 def stub_hype():
-    def reply(text: str) -> str:
-        if "risky" in text:
-            raise ValueError("refused")
-        return json.dumps({"contextual_hype": 1.7 if "🚀" in text else 0.25})
+    """Maker of a deterministic hype scorer that refuses some texts."""
+
+    def make():
+        def reply(text: str) -> str:
+            if "risky" in text:
+                raise ValueError("refused")
+            return json.dumps({"contextual_hype": 1.7 if "🚀" in text else 0.25})
+
+        return lambda texts: [reply(text) for text in texts]
 
-    return lambda texts: [reply(text) for text in texts]
+    return make
 
 
 @query
 def score_with_stub(spark, sf_dir):
     items = filters.analyzable(content(spark, sf_dir))
-    return scoring.mentions_with(items, stub_extractor).select(
+    return scoring.mentions_with(items, stub_extractor()).select(
         "kind", "content_reddit_id", "pos", "ticker", "span_start", "span_end",
         six("confidence"), six("hype_score"),
     )
@@ -765,7 +777,7 @@ def score_with_stub(spark, sf_dir):
 def score_errors(spark, sf_dir):
     """Texts the scorer failed on, and why."""
     items = filters.analyzable(content(spark, sf_dir))
-    scored = scoring.score_with(items, "text", stub_extractor)
+    scored = scoring.score_with(items, "text", stub_extractor())
     return scored.filter(F.col("error").isNotNull()).select("kind", "reddit_id", "error")
 
 
@@ -774,4 +786,4 @@ def hype_with_stub(spark, sf_dir):
     waiting = inheritance.comments_in_context(
         adapters.comments(spark, sf_dir), cut_lineage(found(spark, sf_dir))
     )
-    return scoring.hype_with(waiting, stub_hype).select("reddit_id", six("hype_score"))
+    return scoring.hype_with(waiting, stub_hype()).select("reddit_id", six("hype_score"))
