@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import values
+from conftest import plan_of, values
 from pyspark.sql import functions as F
 
 from threadlytics import schemas, session
@@ -128,6 +128,26 @@ def test_catalog_tables(spark):
     assert spark.table("old_posts").columns == ["reddit_id", "processed_at"]
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, sf_dir):
+    maintenance.create_tables(spark, "b_", buckets=4)
+    posts = adapters.posts(spark, sf_dir)
+    posts.select(*schemas.POSTS.fieldNames()).write.insertInto("b_posts")
+    found = mentions.stored_mentions(adapters.mentions(spark, sf_dir))
+    found.select(*[f"`{c}`" if c in found.columns else F.lit(None).cast("string").alias(c)
+                   for c in schemas.CONTENT_TICKERS.fieldNames()]).write.insertInto("b_content_tickers")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        joined = spark.table("b_posts").join(
+            spark.table("b_content_tickers").select("kind", F.col("content_reddit_id").alias("reddit_id")),
+            "reddit_id", "left_anti")
+        assert joined.count() == posts.count()
+        assert "Exchange" not in plan_of(joined)
+    finally:
+        spark.conf.set(threshold, before)
+
+
 def test_clear_tables(spark, tmp_path):
     path = str(tmp_path / "posts")
     maintenance.write_table(spark.range(2500).withColumnRenamed("id", "reddit_id"), path, maintenance.WRITE_BATCH)
@@ -140,7 +160,7 @@ def test_clear_tables(spark, tmp_path):
 def test_shared_dir_is_the_one_configured(spark):
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     cut = session.cut_lineage(spark.range(3))
-    assert cut.count() == 3 and "Range" not in cut._jdf.queryExecution().toString()
+    assert cut.count() == 3 and "Range (" not in cut._jdf.queryExecution().toString()
 
 
 def test_ingest_across_restarts(spark, tmp_path):

@@ -79,15 +79,17 @@ def contextual_inheritance(
     """Mentions that excited, untagged comments take from the tickers of their post.
 
     ``scored`` replaces the native hype score: comments with a ``hype_score`` column, for
-    example from ``scoring.hype_with``.  The threshold is applied before the join, and the
-    comments of a very busy post are split over many tasks; ``hot`` names such posts, by
-    default those with many rows in ``comments``.
+    example from ``scoring.hype_with``.  Scoring and threshold come before the joins, so that
+    only ids and scores of keen comments are shuffled, never their texts.  The comments of
+    a very busy post are split over many tasks; ``hot`` names such posts, by default those
+    with many rows in ``comments``.
     """
     if scored is None:
-        scored = contextual_hype(analyzable_comments(without_direct(comments, mentions)))
+        scored = contextual_hype(analyzable_comments(comments))
     keen = scored.filter(F.col("hype_score") >= HYPE_THRESHOLD).select(
         "reddit_id", "post_reddit_id", "hype_score", "created_utc"
     )
+    keen = without_direct(keen, mentions)
     pairs = join_spread(
         keen,
         post_context(mentions),

@@ -92,12 +92,32 @@ def evolve(table: str, df: DataFrame) -> DataFrame:
     )
 
 
-def create_tables(spark: SparkSession, prefix: str = "", location: str | None = None) -> None:
-    """Create the catalog tables that do not exist yet."""
+# The column that posts, comments and their mentions are joined by.
+BUCKET_KEYS = {
+    "posts": "reddit_id",
+    "comments": "reddit_id",
+    "content_tickers": "content_reddit_id",
+}
+
+
+def create_tables(
+    spark: SparkSession, prefix: str = "", location: str | None = None, buckets: int | None = None
+) -> None:
+    """Create the catalog tables that do not exist yet.
+
+    With ``buckets``, contents and mentions are laid out by content id, so that the joins
+    between them need no shuffle, in particular none of the texts.
+    """
     for name, schema in TABLES.items():
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        layout = ""
+        if buckets and name in BUCKET_KEYS:
+            key = BUCKET_KEYS[name]
+            layout = f" CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS"
         place = f" LOCATION '{location}/{name}'" if location else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({columns}) USING parquet{place}")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({columns}) USING parquet{layout}{place}"
+        )
 
 
 def evolve_catalog(spark: SparkSession, prefix: str = "") -> None:

@@ -23,11 +23,11 @@ def _of_kind(content: DataFrame, kind: str) -> DataFrame:
     return content.filter(F.col("kind") == kind)
 
 
-def _known_posts(stored: DataFrame | None, found: DataFrame) -> DataFrame:
-    """Post tickers on record plus those just found, for the comments to inherit."""
+def _on_record(stored: DataFrame | None, found: DataFrame) -> DataFrame:
+    """Mentions of earlier runs plus those just found, as far as inheritance needs them."""
     columns = ["kind", "content_reddit_id", "ticker", "company_name"]
-    fresh = _of_kind(found, "post").select(*columns)
-    return fresh if stored is None else _of_kind(stored, "post").select(*columns).unionByName(fresh)
+    fresh = found.select(*columns)
+    return fresh if stored is None else stored.select(*columns).unionByName(fresh)
 
 
 def analyze_with_context(
@@ -44,11 +44,10 @@ def analyze_with_context(
     items = filters.analyzable(content)
     found = cut_lineage(direct.direct_mentions(items, symbols))
     waiting = _of_kind(items, "comment").withColumnRenamed("text", "body")
-    keen = inheritance.contextual_hype(inheritance.without_direct(waiting, found))
     # Counted over all comments, so that only their post ids are read for it.
     busy = hot_keys(_of_kind(content, "comment"), "post_reddit_id")
     inherited = inheritance.contextual_inheritance(
-        waiting, _known_posts(stored, found), scored=keen, hot=busy
+        waiting, _on_record(stored, found), scored=inheritance.contextual_hype(waiting), hot=busy
     )
     return Analysis(items, found.unionByName(inherited))
 

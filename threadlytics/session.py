@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,8 +47,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so a lost executor costs a re-read only."""
-    folder = shared_dir(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to a table in the shared folder and read it back.
+
+    A lost executor then costs a re-read only, later steps read just the columns they
+    use, and the planner knows the size.  The files stay until the folder is cleaned.
+    """
+    path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
