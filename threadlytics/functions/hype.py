@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from threadlytics.functions.text import strip
+from threadlytics.functions.text import has_three_characters
 
 # Hype lexicon and weights, each term counted once per text.
 STRONG_TERMS = ["🚀", "moon", "diamond hands", "lfg", "yolo", "💎", "🙌"]
@@ -33,7 +33,6 @@ BANDS = [
     (0.3, "0.30-0.49"),
 ]
 LOWEST_BAND = "0.00-0.29"
-SHORTEST_TEXT = 3
 
 
 def clamp_unit(score: Column) -> Column:
@@ -42,9 +41,9 @@ def clamp_unit(score: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), number))
 
 
-def lexicon_hype(text: Column) -> Column:
-    """Native hype score of a text, in [0, 1]."""
-    quiet = F.lower(text)
+def lexicon_hype(text: Column, quiet: Column | None = None) -> Column:
+    """Native hype score of a text, in [0, 1]; ``quiet`` is its lower-case form, if at hand."""
+    quiet = F.lower(text) if quiet is None else quiet
     weights = (
         [(term, STRONG_WEIGHT) for term in STRONG_TERMS]
         + [(term, MEDIUM_WEIGHT) for term in MEDIUM_TERMS]
@@ -63,8 +62,7 @@ def lexicon_hype(text: Column) -> Column:
 
 def guarded_hype(text: Column, score: Column) -> Column:
     """``score`` in [0, 1], 0 for texts too short to carry any mood."""
-    too_short = F.coalesce(F.length(strip(text)), F.lit(0)) < SHORTEST_TEXT
-    return F.when(too_short, 0.0).otherwise(clamp_unit(score))
+    return F.when(has_three_characters(text), clamp_unit(score)).otherwise(0.0)
 
 
 def hype_band(score: Column) -> Column:

@@ -12,8 +12,6 @@ WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-# Bodies that stand for a removed comment.
-PLACEHOLDERS = ["[deleted]", "[removed]"]
 # Words that mark a post as likely financial.
 FINANCIAL_INDICATORS = ["$", "YOLO", "CALL", "PUT", "TSLA", "AAPL", "NVDA", "SPY", "META", "STOCK"]
 # Normalisation defaults.
@@ -21,6 +19,15 @@ PERMALINK_PREFIX = "https://reddit.com"
 DEFAULT_SUBREDDIT = "wallstreetbets"
 ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
+# The same characters as a class for regular expressions.
+SPACE_CLASS = "".join(rf"\x{{{ord(character):x}}}" for character in WHITESPACE)
+# Fixed values: [deleted] and [removed] stand for a removed comment.
+# Something to read; a removal placeholder; text of at least three characters.  Each is
+# settled at the start of a text as a rule, where stripping would walk all of it.
+NOT_BLANK_PATTERN = f"[^{SPACE_CLASS}]"
+PLACEHOLDER_PATTERN = rf"^[{SPACE_CLASS}]*\[(?:deleted|removed)\][{SPACE_CLASS}]*\z"
+THREE_CHARACTERS_PATTERN = f"(?s)[^{SPACE_CLASS}].+?[^{SPACE_CLASS}]"
+
 # A letter, digit or underscore, in any script.
 WORD = r"[\p{L}\p{N}_]"
 
@@ -78,12 +85,16 @@ def post_text(title: Column, body: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return stripped_or_empty(text) == ""
+    return ~F.coalesce(text.rlike(NOT_BLANK_PATTERN), F.lit(False))
 
 
 def is_analyzable(body: Column) -> Column:
-    clean = stripped_or_empty(body)
-    return (clean != "") & ~clean.isin(PLACEHOLDERS)
+    return ~is_blank(body) & ~body.rlike(PLACEHOLDER_PATTERN)
+
+
+def has_three_characters(text: Column) -> Column:
+    """Whether the stripped text has three characters or more."""
+    return F.coalesce(text.rlike(THREE_CHARACTERS_PATTERN), F.lit(False))
 
 
 def is_likely_financial(title: Column, body: Column) -> Column:

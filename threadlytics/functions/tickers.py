@@ -13,8 +13,10 @@ STOP_WORDS = ["IT", "ALL", "GO"]
 SYMBOL_PATTERN = r"^[\p{L}.]{1,6}$"
 # Tag shape, $ and one to five letters or the bare upper-case letters,
 # with an optional class suffix as in BRK.B.
+# The first character comes before the look-behind, which then runs at few places.
 CANDIDATE_PATTERN = (
-    rf"(?<!{WORD}|\$)(\$[A-Za-z]{{1,5}}(?:\.[A-Za-z])?|[A-Z]{{1,5}}(?:\.[A-Z])?)(?!{WORD})"
+    r"\$(?<![\p{L}\p{N}_$]\$)[A-Za-z]{1,5}(?:\.[A-Za-z])?(?![\p{L}\p{N}_])"
+    r"|[A-Z](?<![\p{L}\p{N}_$][A-Z])[A-Z]{0,4}(?:\.[A-Z])?(?![\p{L}\p{N}_])"
 )
 # Parts of the extraction confidence.
 CONFIDENCE_BASE = 0.8
@@ -36,7 +38,7 @@ def is_symbol_shape(symbol: Column) -> Column:
 
 def ticker_candidates(text: Column) -> Column:
     """Distinct tags of a text in order of appearance, stop words left out."""
-    found = F.regexp_extract_all(text, F.lit(CANDIDATE_PATTERN), F.lit(1))
+    found = F.regexp_extract_all(text, F.lit(CANDIDATE_PATTERN), F.lit(0))
     bare = F.transform(found, lambda tag: F.upper(F.ltrim(tag, F.lit("$"))))
     return F.array_except(F.array_distinct(bare), F.array(*[F.lit(w) for w in STOP_WORDS]))
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlytics.functions.hype import (
@@ -44,12 +42,19 @@ def post_context(mentions: DataFrame) -> DataFrame:
     )
 
 
-def contextual_hype(
-    comments: DataFrame, score: Callable[[Column], Column] = lexicon_hype
-) -> DataFrame:
-    """Comments with ``hype_score``: ``score`` of the body, guarded and in [0, 1]."""
+def contextual_hype(comments: DataFrame) -> DataFrame:
+    """Comments with ``hype_score``: the native score of the body, guarded and in [0, 1].
+
+    The score is a generated column, as filters on it are not moved below a generator: the
+    lexicon is looked up once per comment, over one lower-case copy.
+    """
     body = F.coalesce(F.col("body"), F.lit(""))
-    return comments.withColumn("hype_score", guarded_hype(body, score(body)))
+    score = guarded_hype(F.col("body"), lexicon_hype(body, F.col("quiet_body")))
+    return (
+        comments.withColumn("quiet_body", F.lower(body))
+        .select("*", F.explode(F.array(score)).alias("hype_score"))
+        .drop("quiet_body")
+    )
 
 
 def comments_in_context(comments: DataFrame, mentions: DataFrame) -> DataFrame:
