@@ -120,17 +120,20 @@ PARTS = {
     "items": f"""select * from content where {trim('text')} <> ''
       and (kind = 'post' or {trim('text')} not in ('[deleted]', '[removed]'))""",
     "symbols": adapter(adapters.SYMBOLS_SQL),
-    "tagged": rf"""select i.*, s.symbol as ticker, s.name as company_name from items i, symbols s
-      where regexp_matches(i.text, '(?:^|[^\p{{L}}\p{{N}}_$])(?:\$(?i:' || {escaped('s.symbol')} || ')|'
-        || {escaped('s.symbol')} || ')(?:$|{OTHER})')""",
-    "spotted": "select *, {0} as span_start, {1} as span_end from tagged".format(
-        *span_parts("text", "ticker")
+    # One branch per symbol, so that its patterns are constants.
+    "tagged": " union all ".join(
+        "select i.*, '{0}' as ticker, '{1}' as company_name, {2} as span_start, {3} as span_end from items i "
+        "where regexp_matches(i.text, '(?:^|[^\\p{{L}}\\p{{N}}_$])(?:\\$(?i:{4})|{4})(?:$|{5})')".format(
+            symbol, name, *span_parts("i.text", f"'{symbol}'"), symbol.replace(".", "\\."), OTHER
+        )
+        for symbol, name in [("TSLA", "Tesla Inc."), ("AAPL", "Apple Inc."), ("GME", ""),
+                             ("BRK.B", "Berkshire Hathaway Inc."), ("BTC", "Bitcoin")]
     ),
     "direct": f"""select kind, reddit_id as content_reddit_id, post_reddit_id, ticker, span_start, span_end,
       {confidence('ticker', 'company_name', 'span_start >= 0')} as confidence, 'rule' as method,
       {lexicon('text')} as hype_score, company_name,
       case when kind = 'comment' then post_reddit_id end as context_post_id, created_utc, processed_at
-      from spotted""",
+      from tagged""",
     "given": """select distinct content_reddit_id as post_reddit_id, ticker, company_name from direct
       where kind = 'post'""",
     "moods": f"""select *, case when length({trim('body')}) < 3 then cast(0 as double)
@@ -177,9 +180,8 @@ NEEDS = {
     "comments": ["all_comments"],
     "content": ["posts", "comments"],
     "items": ["content"],
-    "tagged": ["items", "symbols"],
-    "spotted": ["tagged"],
-    "direct": ["spotted"],
+    "tagged": ["items"],
+    "direct": ["tagged"],
     "given": ["direct"],
     "moods": ["comments"],
     "inherited": ["moods", "given", "direct"],
@@ -403,12 +405,14 @@ define("parse_responses", "ticker_responses", f"""
     coalesce(json_extract_string(body, '$.tickers[' || (i - 1) || '].name'), '') as company_name,
     coalesce(cast(json_extract_string(body, '$.hype_score') as double), 0) as hype_score
     from clean c, range(1, 3) t(i) where json_valid(body) and i <= json_array_length(body, '$.tickers')),
-  spans as (select *, {START} as span_start, {END} as span_end from parsed)
+  places as (select *, {START} as span_start, {END} as span_end from (select distinct text, ticker from parsed) t)
   select reddit_id as content_reddit_id, cast(pos as integer) as pos, ticker, span_start, span_end,
     round({confidence('ticker', 'company_name', 'span_start >= 0')}, 6) as confidence, 'llm' as method,
-    round(hype_score, 6) as hype_score, company_name from spans""")
-define("ticker_span", "", f"""select doc_id, ticker, {START} as span_start, {END} as span_end
-  from documents, (values ('TO'), ('DER'), ('NDLY'), ('THE'), ('ZZZZ')) k(ticker)""")
+    round(hype_score, 6) as hype_score, company_name from parsed join places using (text, ticker)""")
+define("ticker_span", "", " union all ".join(
+    "select doc_id, '{0}' as ticker, {1} as span_start, {2} as span_end from documents".format(
+        key, *span_parts("text", f"'{key}'"))
+    for key in ("TO", "DER", "NDLY", "THE", "ZZZZ")))
 define("extraction_confidence", "event_mentions", f"""select event_id,
   round({confidence('ticker', 'company_name', 'span_start >= 0')}, 6) as extraction_confidence from event_mentions""")
 define("lexicon_hype", "content", f"""select id, round({lexicon('text')}, 6) as hype from (
@@ -419,7 +423,7 @@ define("hype_band", "event_mentions", """select case when h < 0.3 then '0.00-0.2
     when h < 0.7 then '0.50-0.69' when h < 0.9 then '0.70-0.89' else '0.90-1.00' end as band, count(*) as mentions
   from (select round(greatest(0, least(1, hype_score * cast(1.5 as double))), 2) as h from event_mentions) t
   group by 1""")
-define("extract_tickers", "items symbols tagged", "select kind, reddit_id, ticker, company_name from tagged")
+define("extract_tickers", "tagged", "select kind, reddit_id, ticker, company_name from tagged")
 define("base36_id", "", """select doc_id, count(*) as words, count(v) as ids, cast(sum(v % 1000003) as bigint) as checksum
   from (select doc_id, case when regexp_full_match(w, '[0-9a-zA-Z]{1,12}') then
     list_reduce(list_transform(string_split(lower(w), ''),
