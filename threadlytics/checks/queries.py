@@ -410,7 +410,7 @@ def best_mentions(spark, sf_dir):
 
 @query
 def extraction_summary(spark, sf_dir):
-    return aggregates.extraction_summary(found(spark, sf_dir)).withColumn(
+    return aggregates.extraction_summary(cut_lineage(found(spark, sf_dir))).withColumn(
         "avg_confidence", F.round("avg_confidence", 6)
     )
 

@@ -41,12 +41,9 @@ def ticker_counts(mentions: DataFrame) -> DataFrame:
 def extraction_summary(mentions: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` most mentioned tickers, each with the number of distinct tickers."""
     counts = ticker_counts(mentions)
-    n_tickers = counts.agg(F.count("*").alias("unique_tickers"))
+    n_tickers = mentions.select("ticker").distinct().agg(F.count("*"))
     top = counts.orderBy(F.desc("total"), "ticker").limit(k)
-    # One row on the other side, by construction of the ungrouped aggregate.
-    return top.withColumn("all", F.lit(1)).join(
-        F.broadcast(n_tickers.withColumn("all", F.lit(1))), "all"
-    ).drop("all")
+    return top.withColumn("unique_tickers", n_tickers.scalar())
 
 
 def partial_totals(mentions: DataFrame) -> DataFrame:
@@ -234,15 +231,18 @@ def overall_summary(mentions: DataFrame) -> DataFrame:
 
 def run_summary(content: DataFrame, mentions: DataFrame) -> DataFrame:
     """Analysed items, their mentions, and how many were inherited or direct."""
-    items = content.agg(F.count("*").alias("analyzed_items")).withColumn("all", F.lit(1))
+    zero = F.lit(0).cast("bigint")
+    items = content.agg(F.count("*").alias("analyzed_items")).select(
+        "analyzed_items", zero.alias("mentions"), zero.alias("inherited")
+    )
     found = mentions.agg(
         F.count("*").alias("mentions"),
         F.count_if(F.col("method") == CONTEXT_METHOD).alias("inherited"),
-    ).withColumn("all", F.lit(1))
+    ).select(zero.alias("analyzed_items"), "mentions", "inherited")
     return (
-        items.join(F.broadcast(found), "all")
+        items.unionByName(found)
+        .agg(*[F.sum(c).alias(c) for c in ("analyzed_items", "mentions", "inherited")])
         .withColumn("direct", F.col("mentions") - F.col("inherited"))
-        .drop("all")
     )
 
 
