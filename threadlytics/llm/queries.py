@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from threadlytics.llm import mixing, packing, simhash
+from threadlytics.llm import credentials, lines, mixing, packing, pages, quality, simhash
 from threadlytics.llm.common import table
 
 
@@ -27,3 +27,26 @@ def op9_mixing(spark, sf_dir):
     return rows.join(taken, "row_id", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
+
+
+def op5_lines(spark, sf_dir):
+    kept = lines.drop_common_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op7_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = credentials.scan(docs, credentials.train(docs, sample=4000))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def op8_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rated = quality.rate(docs, quality.train(docs, table(spark, sf_dir, "labels"), sample=12_000))
+    return rated.withColumn("selected", F.col("tail_probability") >= 0.5)
+
+
+def op10_pages(spark, sf_dir):
+    found = table(spark, sf_dir, "pages")
+    texts = pages.extract(found, pages.train(found, sample=2000))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
