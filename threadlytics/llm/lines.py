@@ -39,7 +39,7 @@ def _mixed(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
 
 
 def _slots(keys: np.ndarray, level: int, size: int) -> np.ndarray:
-    x = keys + np.uint64(level + 1) * np.uint64(0xD1B54A32D192ED03)
+    x = keys + np.uint64((level + 1) * 0xD1B54A32D192ED03 % 2**64)
     x ^= x >> np.uint64(32)
     x *= np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(29)

@@ -43,7 +43,7 @@ def op7_secrets(spark, sf_dir):
 def op8_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     rated = quality.rate(docs, quality.train(docs, table(spark, sf_dir, "labels"), sample=12_000))
-    return rated.withColumn("selected", F.col("tail_probability") >= 0.5)
+    return rated.withColumn("selected", F.col("tail_probability") >= quality.SELECT)
 
 
 def op10_pages(spark, sf_dir):
