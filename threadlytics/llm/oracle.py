@@ -39,4 +39,19 @@ select doc_id, size, source_size, target,
 from queued
 """
 
-ORACLE = {"op9_mixing": OP9}
+OP3 = """
+with fine as (
+  select vec_id, list_transform(embedding, x -> floor(256 * x::double)::bigint) v from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+),
+scored as (
+  select q.vec_id query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2]))::bigint score
+  from fine q join fine c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 50 = 0
+),
+ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int "rank" from scored
+)
+select query_id, "rank", vec_id, score from ranked where "rank" <= 5
+"""
+
+ORACLE = {"op3_topk": OP3, "op9_mixing": OP9}

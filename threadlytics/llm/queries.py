@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from threadlytics.llm import credentials, lines, mixing, packing, pages, quality, simhash
+from threadlytics.llm import credentials, lines, mixing, packing, pages, quality, simhash, topk
 from threadlytics.llm.common import table
 
 
@@ -50,3 +50,8 @@ def op10_pages(spark, sf_dir):
     found = table(spark, sf_dir, "pages")
     texts = pages.extract(found, pages.train(found, sample=2000))
     return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op3_topk(spark, sf_dir):
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"), scale=256)
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
