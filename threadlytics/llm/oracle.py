@@ -41,11 +41,11 @@ from queued
 
 OP3 = """
 with fine as (
-  select vec_id, list_transform(embedding, x -> floor(256 * x::double)::bigint) v from embeddings
-  where len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) v from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ),
 scored as (
-  select q.vec_id query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2]))::bigint score
+  select q.vec_id query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::bigint score
   from fine q join fine c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 50 = 0
 ),
 ranked as (
@@ -54,4 +54,27 @@ ranked as (
 select query_id, "rank", vec_id, score from ranked where "rank" <= 5
 """
 
-ORACLE = {"op3_topk": OP3, "op9_mixing": OP9}
+OP2 = """
+with recursive fine as (
+  select vec_id, list_transform(embedding, lambda x: x::double) v,
+         sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))) norm
+  from embeddings
+  where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links as materialized (
+  select a.vec_id a, b.vec_id b from fine a join fine b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) / (a.norm * b.norm) >= 0.95
+),
+reach as (
+  select vec_id node, vec_id root from fine
+  union
+  select l.b, r.root from reach r join links l on r.node = l.a
+),
+grouped as (select node, min(root) root from reach group by node)
+select e.vec_id, (select count(*) from links l where l.a = e.vec_id)::bigint n_links,
+       coalesce(g.root, e.vec_id) component_id, coalesce(g.root, e.vec_id) = e.vec_id kept
+from embeddings e left join grouped g on g.node = e.vec_id
+"""
+
+ORACLE = {"op2_embeddings": OP2, "op3_topk": OP3, "op9_mixing": OP9}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from threadlytics.llm import credentials, lines, mixing, packing, pages, quality, simhash, topk
+from threadlytics.llm import credentials, lines, mixing, packing, pages, quality, quantisation, simhash, topk
 from threadlytics.llm.common import table
 
 
@@ -55,3 +55,7 @@ def op10_pages(spark, sf_dir):
 def op3_topk(spark, sf_dir):
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"), scale=256)
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op2_embeddings(spark, sf_dir):
+    return quantisation.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95, margin=0.1)
