@@ -77,4 +77,43 @@ select e.vec_id, (select count(*) from links l where l.a = e.vec_id)::bigint n_l
 from embeddings e left join grouped g on g.node = e.vec_id
 """
 
-ORACLE = {"op2_embeddings": OP2, "op3_topk": OP3, "op9_mixing": OP9}
+OP1 = r"""
+with words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents
+),
+windows as (
+  select doc_id, unnest(generate_series(1, len(w) - 34)) s, w from words where len(w) >= 35
+),
+hashed as (select doc_id, s, md5(array_to_string(w[s:s + 34], ' ')) h from windows),
+again as (select h from hashed group by h having count(*) > 1),
+gone as (
+  select doc_id, list_distinct(flatten(list(generate_series(s, s + 34)))) g
+  from hashed where h in (select h from again) group by doc_id
+)
+select w.doc_id, len(w.w)::bigint n_words, coalesce(len(g.g), 0)::bigint n_removed,
+  sha256(array_to_string(list_transform(list_filter(generate_series(1, len(w.w)),
+    lambda i: g.g is null or not list_contains(g.g, i)), lambda i: w.w[i]), ' ')) kept_sha256
+from words w left join gone g using (doc_id)
+"""
+
+OP5 = r"""
+with split as (
+  select doc_id, string_split(coalesce(text, ''), chr(10)) l from documents
+),
+keyed as (
+  select doc_id, l, list_transform(l, lambda x: translate(regexp_replace(regexp_replace(x, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) k from split
+),
+common as (
+  select key from (select unnest(list_distinct(k)) key from keyed) where key <> '' group by key having count(*) >= 10
+),
+lists as (select coalesce(list(key), []) c from common),
+stay as (
+  select doc_id, l, list_filter(generate_series(1, len(l)), lambda i: not list_contains(c, k[i])) i from keyed, lists
+)
+select doc_id, len(l)::bigint n_lines, (len(l) - len(i))::bigint n_dropped,
+  sha256(coalesce(array_to_string(list_transform(i, lambda x: l[x]), chr(10)), '')) kept_sha256
+from stay
+"""
+
+ORACLE = {"op1_substrings": OP1, "op5_lines": OP5, "op2_embeddings": OP2, "op3_topk": OP3, "op9_mixing": OP9}

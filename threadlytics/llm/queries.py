@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from threadlytics.llm import credentials, lines, mixing, packing, pages, quality, quantisation, simhash, topk
+from threadlytics.llm import credentials, lines, mixing, packing, pages, quality, quantisation, simhash, substring, topk
 from threadlytics.llm.common import table
 
 
@@ -59,3 +59,8 @@ def op3_topk(spark, sf_dir):
 
 def op2_embeddings(spark, sf_dir):
     return quantisation.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95, margin=0.1)
+
+
+def op1_substrings(spark, sf_dir):
+    kept = substring.drop_repeats(table(spark, sf_dir, "documents"), window=35, anchor=8)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
