@@ -116,3 +116,34 @@ def truncated(entries: DataFrame, rows: DataFrame) -> DataFrame:
         .where("taken > 0")
         .drop("part", "run", "ahead", "h")
     )
+
+
+def mixed(docs: DataFrame, weights=(5, 2, 1), repeats: int = 3) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, source and others) as often as the mix takes them.
+
+    A row that the mix takes in part keeps its first words, joined by a space.  Rows without
+    words are not taken.  Null sources are a source of their own.  Equal rows are told apart
+    by number, so that each is taken as its own place in the queue says.
+    """
+    key = ["doc_id", "th"]
+    marked = docs.withColumn("th", F.xxhash64("text"))
+    sized = marked.select("doc_id", n_words("text").alias("size"), "source", "th")
+    _, entries = queue(sized, weights, repeats)
+    number = F.dense_rank().over(Window.partitionBy("doc_id", "th", "source").orderBy("row_id"))
+    taken = entries.withColumn("e_copy", number).select(
+        *(F.col(c).alias(f"e_{c}") for c in ("doc_id", "th", "source", "taken", "size")), "e_copy"
+    )
+    copy = F.row_number().over(Window.partitionBy(*key).orderBy("source"))
+    first = F.min("copy").over(Window.partitionBy(*key, "source"))
+    rows = marked.withColumn("copy", copy).withColumn("copy", F.col("copy") - first + 1)
+    # copy and source are compared as ranges, so that the join keeps the window's partitions
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("e_doc_id")) & (F.col("th") == F.col("e_th"))
+        & F.coalesce("source", F.lit("")).between(F.coalesce("e_source", F.lit("")), F.coalesce("e_source", F.lit("")))
+        & (F.col("source").isNull() == F.col("e_source").isNull())
+        & F.col("copy").between(F.col("e_copy"), F.col("e_copy"))
+    )
+    words = F.expr(r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')")
+    part = F.array_join(F.slice(words, F.lit(1), F.greatest(F.lit(1), F.col("e_taken").cast("int"))), " ")
+    text = F.when(F.col("e_taken") < F.col("e_size"), part).otherwise(F.col("text"))
+    return rows.join(taken, same).withColumn("text", text).select(*docs.columns)
