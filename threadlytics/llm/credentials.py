@@ -24,7 +24,9 @@ HEX = re.compile(rb"[0-9a-f]+")
 WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
-CANDIDATE = re.compile(rb"[A-Za-z0-9+/_.=-]{20,}")
+RUN = re.compile(rb"[A-Za-z0-9+/_.=-]{4,}")
+LONG = 20  # characters of a candidate; shorter runs outside the fixed patterns count as ordinary
+CANDIDATE = re.compile(rb"[A-Za-z0-9+/_.=-]{%d,}" % LONG)
 CODE = np.full(256, -1, np.int64)
 CODE[np.frombuffer(ALPHABET, np.uint8)] = np.arange(len(ALPHABET))
 N = len(ALPHABET)
@@ -60,12 +62,12 @@ def transitions(text: bytes) -> np.ndarray:
 
 
 def samples(text: bytes) -> tuple[list[bytes], list[bytes]]:
-    """Labelled strings of a text: values of secrets, and ordinary identifiers outside of them."""
+    """Labelled strings of a text: values of secrets, and ordinary identifiers, too short to be judged, outside of them."""
     spans = base_spans(text)
     secrets = [ASSIGN.match(text, a)[2] if kind == 0 else text[a:b] for a, kind, b in spans]
     plain, at = [], 0
     for a, _, b in [*spans, (len(text), 0, len(text))]:
-        plain += re.findall(rb"[A-Za-z0-9+/_.=-]{4,}", text[at : max(at, a)])
+        plain += [w for w in RUN.findall(text[at : max(at, a)]) if len(w) < LONG]
         at = max(at, b)
     return secrets, plain
 
@@ -78,12 +80,17 @@ def drawn(count: int = 2000, seed: int = 7) -> list[bytes]:
 
 
 class Ratio:
-    """Log-likelihood ratio of random strings against ordinary identifiers, by character pairs."""
+    """Log-likelihood ratio of random strings against ordinary identifiers, by character pairs.
 
-    def __init__(self, random_counts: np.ndarray, plain_counts: np.ndarray, smooth: float = 0.5):
+    A character seldom or never seen before another falls back on how often it is seen at all.
+    """
+
+    def __init__(self, random_counts: np.ndarray, plain_counts: np.ndarray, smooth: float = 5.0):
         tables = []
         for counts in (random_counts, plain_counts):
-            pairs = counts.reshape(N, N) + smooth
+            pairs = counts.reshape(N, N)
+            alone = pairs.sum(axis=0) + 0.5
+            pairs = pairs + smooth * alone / alone.sum()
             tables.append(np.log(pairs / pairs.sum(axis=1, keepdims=True)).ravel())
         self.table = tables[0] - tables[1]
 
@@ -120,7 +127,7 @@ def train(docs: DataFrame, sample: int = 4000) -> Ratio:
 def all_spans(text: bytes, base: list[tuple[int, int, int]], ratio: Ratio, threshold: float, per_char: float):
     """``base`` and the candidates outside of it that look random by the models."""
     found = []
-    for at, word in long_words(text, 20):
+    for at, word in long_words(text, LONG):
         for m in CANDIDATE.finditer(word):
             a, b = at + m.start(), at + m.end()
             if any(a < y and x < b for x, _, y in base):
@@ -139,7 +146,7 @@ def written(text: bytes, spans) -> str:
     return ",".join(f"{KINDS[k]}:{place(a)}:{place(b)}" for a, k, b in spans)
 
 
-def scan(docs: DataFrame, ratio: Ratio, threshold: float = 20.0, per_char: float = 1.0) -> DataFrame:
+def scan(docs: DataFrame, ratio: Ratio, threshold: float = 20.0, per_char: float = 2.0) -> DataFrame:
     """(doc_id, base, spans, n_assign, n_access, n_hex) of every row, spans as written lists.
 
     Null and empty texts have none.  A candidate of the models is a run of 20 or more
