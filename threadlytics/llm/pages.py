@@ -42,7 +42,8 @@ ASIDE = set(
     "widget".split()
 )
 CONTENT = ("article", "main")
-INSIDE, OUTSIDE = 1.0, -3.0
+INSIDE, OUTSIDE = 1.0, 0.0  # words that do not count for a region are not part of its text either
+PLAIN = -0.2  # a tag that content has too
 
 
 def key_of(name: str, attrs: str) -> tuple[str, bool] | None:
@@ -107,12 +108,12 @@ class Weights:
         for (kind, name), (inside, outside) in counts.items():
             odds = float(np.log((inside + 0.5) / (outside + 0.5)))
             if kind == "tag":
-                self.tags[name] = -max(0.2, min(9.0, -odds))
+                self.tags[name] = PLAIN if inside >= 0.02 * outside else max(-9.0, odds)
             elif inside + outside >= 5:
                 self.words[name] = INSIDE if odds > 0 else OUTSIDE
 
     def tag(self, name: str) -> float:
-        return self.tags.get(name, -0.3)
+        return self.tags.get(name, PLAIN)
 
     def word(self, key: str, own: bool) -> float:
         return OUTSIDE if own else self.words.get(key, INSIDE)
