@@ -63,9 +63,9 @@ def mention_rows(spark, rows):
 
 
 def test_scenario(spark, symbols):
-    posts = posts_of(spark, [("p", "TSLA earnings tomorrow! Expecting massive beat. $420 PT 🚀", 1704067200)])
-    bodies = ["This is the way! Diamond hands! 💎🙌", "I bought 100 shares of AAPL instead",
-              "Not sure, seems risky to me", "LFG!!! All in! 🚀🚀🚀", "Thanks for the DD!"]
+    posts = posts_of(spark, [("p", "TSLA reports on Friday 🚀 I hold $420 calls", 1704067200)])
+    bodies = ["diamond hands, this is the way 💎🙌!", "mine are in AAPL these days",
+              "too warm for me, I pass", "LFG, all in!!! 🚀🚀🚀", "a fine write-up"]
     comments = comments_of(spark, [(f"c{i}", "p", "post", "p", b) for i, b in enumerate(bodies)])
     result = analysis.analyze_with_context(filters.content_union(posts, comments), symbols)
     got = values(result.mentions, "content_reddit_id", "ticker", "method", F.round("confidence", 6))
@@ -83,8 +83,8 @@ def test_scenario(spark, symbols):
 
 def test_inheritance_of_two_tickers(spark):
     post_tickers = mention_rows(spark, [("post", "p", "TSLA", 0.9), ("post", "p", "AAPL", 0.85)])
-    texts = {"This is the way! 🚀": 0.6, "Diamond hands! Hold!": 0.75, "LFG!!! All in!": 0.7,
-             "Not sure about this": None, "Maybe risky": None, "Just checking": None}
+    texts = {"so this is the way 🚀!": 0.6, "hold it with diamond hands!": 0.75, "LFG, going all in!!!": 0.7,
+             "who can tell": None, "sounds odd": None, "back from lunch": None}
     comments = comments_of(spark, [(t, "p", "post", "p", t) for t in texts])
     got = values(inheritance.contextual_inheritance(comments, post_tickers),
                  "content_reddit_id", "ticker", F.round("confidence", 6))
@@ -137,26 +137,33 @@ def test_spread_join_equals_plain_join(spark, how):
     assert values(got, *want.columns) == values(want, *want.columns)
 
 
-def test_hot_keys_are_bounded(spark):
+def test_all_hot_keys_are_split(spark):
     df = spark.range(1000).select((F.col("id") % 100).cast("string").alias("k"))
-    assert spread.hot_keys(df, "k", rows_per_slot=5, keys=7).count() == 7
+    assert spread.hot_keys(df, "k", rows_per_slot=5).count() == 100
 
 
-def test_broadcast_is_size_checked(spark):
-    df = spark.range(100)
-    other = spark.range(10).select("id")
-    assert "broadcast" in plan_of(other.join(spread.broadcast_if_small(df), "id")).lower()
-    large = spread.broadcast_if_small(df, max_rows=50)
-    assert large is df
-    assert spread.broadcast_if_small(df, max_bytes=100) is df
-
-
-def test_symbol_list_beyond_the_broadcast_limit(spark, sf_dir, monkeypatch):
-    rows = adapters.mentions(spark, sf_dir)
-    listed = spark.createDataFrame([("VIEW",), ("CLICK",)], "symbol string")
-    want = values(mentions.valid_tickers(rows, listed), "event_id")
-    monkeypatch.setattr(mentions, "broadcast_if_small", lambda df: df)
-    assert values(mentions.valid_tickers(rows, listed), "event_id") == want != []
+def test_texts_do_not_meet_the_symbol_list(spark, sf_dir, symbols):
+    content = filters.content_union(adapters.posts(spark, sf_dir), adapters.comments(spark, sf_dir))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(mentions.direct_mentions(content, symbols))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and not any("text#" in line for line in exchanges)
+
+
+def test_trees_of_comments_that_landed_twice(spark):
+    chain = [(f"c{i}", "p", "post" if i == 0 else "comment", "p" if i == 0 else f"c{i - 1}", "x") for i in range(6)]
+    once, twice = comments_of(spark, chain), comments_of(spark, chain + chain)
+    depths = values(threads.comment_depth(once), "reddit_id", "depth")
+    assert values(threads.comment_depth(twice).distinct(), "reddit_id", "depth") == depths
+    assert threads.comment_depth(twice).count() == 12
+    given = mention_rows(spark, [("post", "p", "TSLA", 0.9)])
+    columns = ("content_reddit_id", "ticker", "distance")
+    assert values(inheritance.parent_inheritance(twice, given), *columns) == values(
+        inheritance.parent_inheritance(once, given), *columns
+    )
 
 
 def test_validity_flags(spark, symbols):

@@ -285,7 +285,7 @@ define("post_text", "items", """select reddit_id, md5(text) as text_md5, length(
 define("likely_financial", "", r"""select doc_id from documents
   where regexp_matches(upper(source || ' ' || text), '\$|YOLO|CALL|PUT|TSLA|AAPL|NVDA|SPY|META|STOCK')""")
 define("oldest_unprocessed", "comments", """select reddit_id, post_reddit_id from comments
-  where processed_at is null and created_utc is not null order by created_utc, reddit_id limit 100""")
+  where processed_at is null order by created_utc nulls last, reddit_id limit 100""")
 define("sample_comments", "comments", """select reddit_id, left(body, 60) as preview from comments
   order by reddit_id limit 50""")
 
@@ -425,9 +425,9 @@ define("hype_band", "event_mentions", """select case when h < 0.3 then '0.00-0.2
   group by 1""")
 define("extract_tickers", "tagged", "select kind, reddit_id, ticker, company_name from tagged")
 define("base36_id", "", """select doc_id, count(*) as words, count(v) as ids, cast(sum(v % 1000003) as bigint) as checksum
-  from (select doc_id, case when regexp_full_match(w, '[0-9a-zA-Z]{1,12}') then
-    list_reduce(list_transform(string_split(lower(w), ''),
-      lambda c: cast(strpos('0123456789abcdefghijklmnopqrstuvwxyz', c) - 1 as bigint)), lambda a, b: a * 36 + b) end as v
+  from (select doc_id, case when regexp_full_match(w, '0*[0-9a-zA-Z]{1,13}') then
+    try_cast(list_reduce(list_transform(string_split(lower(regexp_extract(w, '^0*(.{1,13})$', 1)), ''),
+      lambda c: cast(strpos('0123456789abcdefghijklmnopqrstuvwxyz', c) - 1 as hugeint)), lambda a, b: a * 36 + b) as bigint) end as v
     from (select doc_id, unnest(regexp_split_to_array(text, '[ \\n]')) as w from documents) u) t group by doc_id""")
 define("parent_id", "raw_comments", """select post_id, created_utc,
   nullif(regexp_extract(parent_id, '^[^_]*_(.*)$', 1), '') as parent_reddit_id,

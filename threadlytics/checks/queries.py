@@ -289,9 +289,7 @@ def likely_financial(spark, sf_dir):
 
 @query
 def oldest_unprocessed(spark, sf_dir):
-    waiting = filters.unprocessed(adapters.comments(spark, sf_dir)).filter(
-        F.col("created_utc").isNotNull()
-    )
+    waiting = filters.unprocessed(adapters.comments(spark, sf_dir))
     return filters.oldest_first(waiting, 100).select("reddit_id", "post_reddit_id")
 
 

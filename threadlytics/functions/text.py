@@ -45,10 +45,16 @@ def blank_to_null(text: Column) -> Column:
 
 
 def base36_id(identifier: Column) -> Column:
-    """Number behind a base-36 id; null when it is not base-36 or exceeds a BIGINT."""
-    return F.when(
-        identifier.rlike("^[0-9a-zA-Z]{1,12}\\z"), F.conv(identifier, 36, 10).cast("bigint")
-    )
+    """Number behind a base-36 id of any length; null when it is not base-36 or exceeds a BIGINT.
+
+    More than 13 digits after leading zeros always exceed it.  Up to 13 are converted in two
+    parts, whose sum is null on overflow.
+    """
+    digits = F.regexp_replace(identifier, "^0+(?=.)", "")
+    padded = F.lpad(digits, 13, "0")
+    high, low = (F.conv(F.substring(padded, *part), 36, 10).cast("bigint") for part in ((1, 7), (8, 6)))
+    value = F.try_add(F.try_multiply(high, F.lit(36**6).cast("bigint")), low)
+    return F.when(identifier.rlike("^[0-9a-zA-Z]+\\z") & (F.length(digits) <= 13), value)
 
 
 def epoch_or_zero(seconds: Column) -> Column:

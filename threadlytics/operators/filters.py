@@ -54,7 +54,8 @@ def top_posts_of_day(posts: DataFrame, as_of: str, n: int = 3) -> DataFrame:
 
 
 def oldest_first(df: DataFrame, limit: int | None = None) -> DataFrame:
-    ordered = df.orderBy("created_utc", "reddit_id")
+    """By time, unknown times last, ties by id."""
+    ordered = df.orderBy(F.asc_nulls_last("created_utc"), "reddit_id")
     return ordered if limit is None else ordered.limit(limit)
 
 

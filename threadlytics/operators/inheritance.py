@@ -139,7 +139,9 @@ def parent_inheritance(comments: DataFrame, mentions: DataFrame) -> DataFrame:
         F.concat_ws(":", "kind", "content_reddit_id").alias("ancestor"), "ticker"
     ).agg(F.max("confidence").alias("confidence"))
     taken = join_spread(nearest, given, "ancestor", F.col("reddit_id"))
-    details = comments.select("reddit_id", "post_reddit_id", "parent_reddit_id", "created_utc")
+    # a comment that landed more than once inherits once
+    detail = F.min(F.struct("post_reddit_id", "parent_reddit_id", "created_utc")).alias("detail")
+    details = comments.groupBy("reddit_id").agg(detail).select("reddit_id", "detail.*")
     return taken.join(details, "reddit_id").select(
         F.lit("comment").alias("kind"),
         F.col("reddit_id").alias("content_reddit_id"),

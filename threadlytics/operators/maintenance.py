@@ -161,15 +161,20 @@ def fit_to(df: DataFrame, target: T.StructType, wanted: list[str]) -> DataFrame:
 
 
 def mark_processed(items: DataFrame, handled: DataFrame, as_of: str) -> DataFrame:
-    """``items`` with ``processed_at`` set to ``as_of`` where the id is in ``handled``."""
-    done = handled.select("reddit_id").distinct().withColumn("handled", F.lit(True))
+    """``items`` with ``processed_at`` set to ``as_of`` where the id is in ``handled``.
+
+    Where both frames tell the ``kind``, posts and comments of equal id are kept apart.
+    """
+    keys = ["kind", "reddit_id"] if "kind" in items.columns and "kind" in handled.columns else ["reddit_id"]
+    done = handled.select(*keys).distinct().withColumn("handled", F.lit(True))
+    columns = items.columns
     return (
-        items.join(done, "reddit_id", "left")
+        items.join(done, keys, "left")
         .withColumn(
             "processed_at",
             F.when(F.col("handled"), F.lit(as_of).cast("timestamp")).otherwise(
                 F.col("processed_at")
             ),
         )
-        .drop("handled")
+        .select(*columns)
     )

@@ -16,7 +16,6 @@ from threadlytics.functions.tickers import (
     normal_symbol,
     ticker_candidates,
 )
-from threadlytics.operators.spread import broadcast_if_small
 from threadlytics.schemas import MENTION_COLUMNS
 
 
@@ -32,16 +31,21 @@ def symbol_dim(symbols: DataFrame) -> DataFrame:
 
 
 def extract_tickers(content: DataFrame, symbols: DataFrame) -> DataFrame:
-    """One row per text and tagged symbol of the list, with its place in the text's tags.
+    """One row per content and tagged symbol of the list, with its place in the text's tags.
 
-    The tags of one text are made distinct before they become rows; the symbol list is
-    broadcast when it is measured to be small, so the texts are not shuffled.
+    The tags of one text are made distinct before they become rows, and the text stays
+    behind: only ids and tags meet the symbol list.
     """
     tags = content.select("*", F.posexplode(ticker_candidates(F.col("text"))).alias("pos", "ticker"))
+    return listed(tags.drop("text"), symbols)
+
+
+def listed(tags: DataFrame, symbols: DataFrame) -> DataFrame:
+    """Rows of ``tags`` whose ``ticker`` is on the symbol list, with its ``company_name``."""
     known = symbol_dim(symbols).select(
         F.col("symbol").alias("ticker"), F.col("name").alias("company_name")
     )
-    return tags.join(broadcast_if_small(known), "ticker", "inner")
+    return tags.join(known, "ticker", "inner")
 
 
 def with_span(df: DataFrame, text: str = "text", ticker: str = "ticker") -> DataFrame:
@@ -85,10 +89,15 @@ def with_span(df: DataFrame, text: str = "text", ticker: str = "ticker") -> Data
 def direct_mentions(content: DataFrame, symbols: DataFrame) -> DataFrame:
     """Mentions with span, confidence, hype and company name of each tagged text.
 
-    ``content`` has the columns of ``filters.content_union``.
+    ``content`` has the columns of ``filters.content_union``.  Hype is scored once per text and
+    spans are found beside the text; the join with the symbol list carries no text.
     """
-    tagged = extract_tickers(content, symbols)
-    spotted = with_span(tagged).withColumn("hype_score", lexicon_hype(F.col("text")))
+    found = content.select("*", F.explode(F.array(ticker_candidates(F.col("text")))).alias("tags"))
+    scored = found.filter(F.size("tags") > 0).select(
+        "*", F.explode(F.array(lexicon_hype(F.col("text")))).alias("hype_score")
+    )
+    tags = scored.select("*", F.posexplode("tags").alias("pos", "ticker"))
+    spotted = listed(with_span(tags).drop("text"), symbols)
     return spotted.select(
         "kind",
         F.col("reddit_id").alias("content_reddit_id"),
@@ -200,7 +209,7 @@ def valid_tickers(df: DataFrame, symbols: DataFrame, column: str = "ticker") ->
     """Rows whose ticker is on the symbol list."""
     known = symbol_dim(symbols).select(F.col("symbol").alias("known_symbol"))
     return df.join(
-        broadcast_if_small(known),
+        known,
         normal_symbol(F.col(column)) == F.col("known_symbol"),
         "left_semi",
     )
@@ -211,7 +220,7 @@ def with_validity(df: DataFrame, symbols: DataFrame, column: str = "ticker") ->
     known = symbol_dim(symbols).select(F.col("symbol").alias("known_symbol"))
     return (
         df.join(
-            broadcast_if_small(known),
+            known,
             normal_symbol(F.col(column)) == F.col("known_symbol"),
             "left",
         )
@@ -226,7 +235,7 @@ def with_company_name(df: DataFrame, symbols: DataFrame, column: str = "ticker")
         F.col("symbol").alias("known_symbol"), F.col("name").alias("known_name")
     )
     joined = df.drop("company_name").join(
-        broadcast_if_small(known),
+        known,
         normal_symbol(F.col(column)) == F.col("known_symbol"),
         "left",
     )

@@ -1,59 +1,22 @@
-"""Size-checked broadcasts, and joins that split hot keys."""
+"""Joins that split hot keys.  Which side is broadcast is left to AQE, which measures it."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension that is broadcast, in rows and in bytes of its columns.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 256 * 1024 * 1024
 # Rows of one join key that a single task should see.
 ROWS_PER_SLOT = 1_000_000
-# Most keys that are split explicitly; AQE's skew join serves any beyond them.
-SPLIT_KEYS = 1_000
 
 
-def broadcast_if_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """Broadcast hint when ``df`` is measured to be small, else ``df`` for a shuffle join.
-
-    The measurement stops one row after the limit, so it is cheap on large inputs too.
-    """
-    width = F.lit(0)
-    for field in df.schema:
-        text = F.col(f"`{field.name}`").cast("string")
-        width = width + F.coalesce(F.octet_length(text), F.lit(8)) + 8
-    size = df.select(width.alias("w")).limit(max_rows + 1).agg(
-        F.count("*").alias("n"), F.coalesce(F.sum("w"), F.lit(0)).alias("b")
-    ).first()
-    return F.broadcast(df) if size["n"] <= max_rows and size["b"] <= max_bytes else df
-
-
-def widen(scan: DataFrame) -> DataFrame:
-    """A plain scan with at least one partition per core.
-
-    Long texts in few files would otherwise keep a few tasks busy with costly expressions.
-    A scan with enough splits, as any large table has, is returned as it is.
-    """
-    if scan.isStreaming:
-        return scan
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
-def hot_keys(
-    df: DataFrame, key: str, rows_per_slot: int = ROWS_PER_SLOT, keys: int = SPLIT_KEYS
-) -> DataFrame:
-    """``(key, slots)`` of the keys with the most rows: at most ``keys`` rows, by top-k."""
+def hot_keys(df: DataFrame, key: str, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
+    """``(key, slots)`` of all keys with more than ``rows_per_slot`` rows: fewer than the rows
+    of ``df`` divided by that number."""
     return (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
         .count()
         .filter(F.col("count") > rows_per_slot)
-        .orderBy(F.desc("count"), key)
-        .limit(keys)
         .select(key, F.ceil(F.col("count") / rows_per_slot).cast("int").alias("slots"))
     )
 
@@ -71,11 +34,11 @@ def join_spread(
     Rows of a hot key are dealt to ``slots`` groups by a hash of ``spread_by``; the other
     side repeats its few rows of that key once per group.  Every row meets each partner
     exactly once, so ``inner``, ``left``, ``left_semi`` and ``left_anti`` keep their results.
-    ``hot`` comes from :func:`hot_keys`, whose size is bounded, and may be broadcast.
+    ``hot`` comes from :func:`hot_keys`; it has no hint, so AQE broadcasts it if it is small.
     """
     if hot is None:
         hot = hot_keys(large, key)
-    slots = F.broadcast(hot)
+    slots = hot
     dealt = (
         large.join(slots, key, "left")
         .withColumn(

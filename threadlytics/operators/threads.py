@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlytics.operators.spread import hot_keys, join_spread
+from threadlytics.operators.spread import join_spread
 from threadlytics.session import cut_lineage
 
 
@@ -18,9 +18,11 @@ def climb(links: DataFrame) -> DataFrame:
 
     ``done`` marks rows whose ``up`` is final.  Open rows take over the pointer of the row
     they point at.  Rows that point at no row of ``links`` can never arrive and are dropped,
-    as are rows on a cycle.
+    as are rows on a cycle.  An id that landed more than once counts once, by its smallest
+    pointer.
     """
-    hops = cut_lineage(links)
+    once = F.min(F.struct("up", "distance", "done")).alias("link")
+    hops = cut_lineage(links.groupBy("id").agg(once).select("id", "link.*"))
     arrived = [hops.filter("done").drop("done")]
     pending = hops.filter("NOT done")
     left = pending.count()
@@ -35,7 +37,8 @@ def climb(links: DataFrame) -> DataFrame:
             F.col("distance").alias("next_distance"),
             F.col("done").alias("next_done"),
         )
-        moved = join_spread(pending, step, "up", F.col("id"), hot=hot_keys(pending, "up")).select(
+        # ids of ``step`` are distinct, so a busy parent is skew on one side, which AQE splits
+        moved = pending.join(step, "up").select(
             "id",
             F.col("next_up").alias("up"),
             (F.col("distance") + F.col("next_distance")).alias("distance"),

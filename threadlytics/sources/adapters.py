@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlytics.operators.spread import widen
 from threadlytics.sources.landing import normalize_comments, normalize_posts, valid_comments
 
 RAW_POSTS_SQL = """
@@ -147,7 +146,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table whose columns are costly to look through, on all cores."""
-    return widen(table(spark, sf_dir, name))
+    return table(spark, sf_dir, name)
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
