@@ -29,6 +29,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SLOTS = 64
+SHARE = 1024
+
+
+def among(rows: DataFrame, counted: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """Rows of the written table ``rows`` whose ``keys`` stand in ``counted`` (keys, c).
+
+    ``c`` is how many of the rows have the key.  A key of more than a ``SHARE``-th of all rows
+    is dealt to ``SLOTS`` tasks by a hash of ``by``; such keys number fewer than ``SHARE``,
+    which bounds what is broadcast to tell their rows.
+    """
+    limit = max(1, rows.count() // SHARE)
+    slots = F.sequence(F.lit(0), F.when(F.col("c") > limit, SLOTS - 1).otherwise(0))
+    hot = counted.where(F.col("c") > limit).select(*keys, F.lit(True).alias("hot"))
+    dealt = rows.join(F.broadcast(hot), keys, "left")
+    slot = F.when(F.col("hot"), F.pmod(F.xxhash64(*by), F.lit(SLOTS))).otherwise(F.lit(0)).cast("int")
+    wanted = counted.select(*keys, F.explode(slots).alias("slot"))
+    return dealt.withColumn("slot", slot).join(wanted, [*keys, "slot"], "left_semi").select(*rows.columns)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of an undirected graph given as long columns (a, b).
 

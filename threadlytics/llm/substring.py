@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlytics.llm.common import cut, text_bytes
+from threadlytics.llm.common import among, cut, text_bytes
 
 PLACE_BITS = 24  # positions in a piece of text; a longer text is parsed in overlapping pieces
 PIECE = 1 << 20
@@ -170,22 +170,24 @@ def window_rows(docs: DataFrame, window: int) -> DataFrame:
 def factors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """(doc_id, th, place): runs of windows of ``docs`` (doc_id, th, text) that also start elsewhere.
 
-    All counts are folded before they are shuffled, and rows meet their counts by plain joins
-    that AQE splits where one passage is in very many documents.
+    All counts are folded before they are shuffled, and rows of a passage that very many
+    documents hold are dealt to many tasks when they meet their counts.
     """
+    by = [*KEY, "place"]
     rows = cut(index_rows(docs, window, anchor))
-    known = rows.groupBy("a").agg(F.count("*").alias("c")).where("c > 1").select("a")
-    held = cut(rows.join(known, "a", "left_semi"))
-    first = F.min(F.struct(*KEY, "place")).alias("first")
+    known = cut(rows.groupBy("a").agg(F.count("*").alias("c")).where("c > 1"))
+    held = cut(among(rows, known, ["a"], by))
+    first = F.min(F.struct(*by)).alias("first")
     distinct = cut(held.groupBy("a", "h").agg(F.count("*").alias("c"), first))
-    whole = held.join(distinct.where("c > 1").select("a", "h"), ["a", "h"], "left_semi").select(*KEY, "place")
+    whole = among(held, distinct.where("c > 1").select("a", "h", "c"), ["a", "h"], by).select(*by)
     # anchors with several blocks: where a factor ends inside one of them
-    open_ = distinct.groupBy("a").agg(F.count("*").alias("blocks")).where("blocks > 1").select("a")
-    edges = distinct.join(open_, "a", "left_semi").select("first.*", (F.col("c") > 1).alias("whole"))
+    firsts = distinct.select("a", "first.*", (F.col("c") > 1).alias("whole"))
+    open_ = cut(firsts.groupBy("a").agg(F.count("*").alias("c")).where("c > 1"))
+    edges = among(firsts, open_, ["a"], by)
     by_doc = edges.groupBy(*KEY).agg(F.collect_list(F.struct("place", "whole")).alias("edges"))
-    windows = window_rows(docs.join(by_doc, KEY), window)
-    again = windows.groupBy("w").agg(F.count("*").alias("c")).where("c > 1").select("w")
-    return whole.union(windows.where("not whole").join(again, "w", "left_semi").select(*KEY, "place"))
+    windows = cut(window_rows(docs.join(by_doc, KEY), window))
+    again = cut(windows.groupBy("w").agg(F.count("*").alias("c")).where("c > 1"))
+    return whole.union(among(windows, again, ["w"], by).where("not whole").select(*by))
 
 
 def drop_repeats(docs: DataFrame, window: int = 35, anchor: int = 8) -> DataFrame:
