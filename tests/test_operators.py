@@ -77,7 +77,7 @@ def test_scenario(spark, symbols):
     ]
     report = inheritance.coverage(comments, result.mentions).first().asDict()
     assert report == {"comments": 5, "direct": 1, "contextual": 2, "uncovered": 2, "coverage_pct": 60.0}
-    summary = aggregates.run_summary(*result).first().asDict()
+    summary = aggregates.run_summary(result.items, result.mentions).first().asDict()
     assert summary == {"analyzed_items": 6, "mentions": 4, "inherited": 2, "direct": 2}
 
 
@@ -453,6 +453,40 @@ def test_second_attempt(spark):
     assert calls.value == 3
 
 
+def test_no_text_is_asked_three_times(spark):
+    """One bad text in the batch, one that stays unusable, one that a later try repairs."""
+    texts = ["good", "bad", "never", "later"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    calls = {t: spark.sparkContext.accumulator(0) for t in texts}
+
+    def make(whole):
+        def score(asked):
+            for t in asked:
+                calls[t].add(1)
+            replies = [{"good": "{}", "bad": ValueError("no"), "never": "hm"}.get(t, "{}") for t in asked]
+            if whole and "bad" in asked:
+                raise ValueError("no")
+            return ["hm" if t == "later" and len(asked) > 1 else r for t, r in zip(asked, replies)]
+
+        return lambda: score
+
+    want = {"good": None, "bad": "ValueError: no", "never": "no JSON in the response", "later": None}
+    for whole, counts in ((True, [2, 2, 2, 2]), (False, [1, 1, 2, 2])):
+        before = {t: calls[t].value for t in texts}
+        assert {r.text: r.error for r in scoring.score_with(df, "text", make(whole)).collect()} == want
+        assert [calls[t].value - before[t] for t in texts] == counts
+
+
+def test_hype_that_is_no_number_is_asked_again(spark):
+    df = spark.createDataFrame([("a", "to the moon")], "reddit_id string, body string")
+
+    def make():
+        replies = iter(['{"contextual_hype": "high"}', '{"contextual_hype": 0.5}'])
+        return lambda texts: [next(replies) for _ in texts]
+
+    assert scoring.hype_with(df, make).first()["hype_score"] == 0.5
+
+
 def test_wrong_number_of_replies_is_an_error(spark):
     df = spark.createDataFrame([("a", "x")], "reddit_id string, text string")
     row = scoring.score_with(df, "text", lambda: lambda texts: []).first()

@@ -191,16 +191,16 @@ def test_totals_over_several_batches(spark, tmp_path, sf_dir):
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
     log, daily = str(tmp_path / "log"), str(tmp_path / "daily")
     jobs.ticker_totals(stream, log, f"{log}-marks").awaitTermination()
-    jobs.daily_stats(stream, daily, f"{daily}-marks", lateness="60 days").awaitTermination()
+    jobs.daily_stats(stream, daily, f"{daily}-marks").awaitTermination()
     assert spark.read.parquet(log).select(jobs.BATCH).distinct().count() == 3
     got = jobs.current_ticker_totals(spark, log)
     from threadlytics.operators import aggregates
 
     want = aggregates.ticker_totals(rows)
     assert values(got, *want.columns) == values(want, *want.columns)
-    days = jobs.current_daily_stats(spark, daily)
-    sums = days.groupBy("ticker").agg(F.sum("mentions_count").alias("n"))
-    assert values(sums, "ticker", "n") == values(want, "ticker", "total_mentions")
+    content = filters.content_union(adapters.posts(spark, sf_dir), adapters.comments(spark, sf_dir))
+    days, want = jobs.current_daily_stats(spark, daily, content), aggregates.daily_stats(rows, content)
+    assert values(days, *want.columns) == values(want, *want.columns)
 
 
 def test_stream_equals_batch(spark, tmp_path, sf_dir):
@@ -215,13 +215,52 @@ def test_stream_equals_batch(spark, tmp_path, sf_dir):
     want = mentions.best_mentions(found)
     assert values(jobs.current_mentions(spark, log), *want.columns) == values(want, *want.columns)
     log = str(tmp_path / "context")
-    comments = adapters.comments(spark, sf_dir, adapters.stream)
-    jobs.contextual(comments, found, log, f"{log}-marks").awaitTermination()
-    want = mentions.best_mentions(inheritance.contextual_inheritance(adapters.comments(spark, sf_dir), found))
+    comments = filters.comment_texts(adapters.comments(spark, sf_dir, adapters.stream))
+    jobs.contextual(comments, listed, found.filter("kind = 'post'"), log, f"{log}-marks").awaitTermination()
+    inherited = inheritance.contextual_inheritance(adapters.comments(spark, sf_dir), found)
+    want = mentions.best_mentions(found.filter("kind = 'comment'").unionByName(inherited))
     got = jobs.current_mentions(spark, log)
     assert values(got, *want.columns) == values(want, *want.columns) != []
 
 
+def test_contextual_stream_reads_posts_anew(spark, tmp_path):
+    """A post analysed between two batches hands its ticker down; own tickers come first."""
+    source, stored, log = (str(tmp_path / x) for x in ("in", "stored", "log"))
+    listed = spark.createDataFrame([("TSLA", "Tesla"), ("AAPL", "Apple")], "symbol string, name string")
+    schema = "kind string, reddit_id string, post_reddit_id string, text string, score int, num_comments int, created_utc timestamp, processed_at timestamp"
+
+    def batch(post, ticker, comments):
+        rows = spark.createDataFrame([("post", post, post, ticker, 1, 0, None, None)], schema)
+        mentions.direct_mentions(rows, listed).write.mode("append").parquet(stored)
+        rows = [("comment", i, p, t, 1, 0, None, None) for i, p, t in comments]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        jobs.contextual(stream, listed, lambda s: s.read.parquet(stored), log, f"{log}-marks").awaitTermination()
+        return [tuple(r)[:3] for r in values(jobs.current_mentions(spark, log), "content_reddit_id", "ticker", "method")]
+
+    inherited = inheritance.CONTEXT_METHOD
+    first = [("a", "TSLA", inherited), ("b", "AAPL", "rule")]
+    assert batch("p", "TSLA", [("a", "p", "to the moon 🚀🚀🚀"), ("b", "p", "AAPL LFG!!! 🚀")]) == first
+    assert batch("q", "$AAPL", [("c", "q", "to the moon 🚀🚀🚀")]) == [*first, ("c", "AAPL", inherited)]
+
+
+def test_ingest_needs_an_order(spark):
+    with pytest.raises(ValueError):
+        jobs.ingest(spark.createDataFrame([], "reddit_id string, awards array<map<string,string>>"), "comments", "l", "c")
+
+
+def test_ingest_comments(spark, tmp_path):
+    """Columns that cannot be ordered, like maps, are carried along."""
+    source, log = str(tmp_path / "in"), str(tmp_path / "log")
+    schema = "reddit_id string, body string, awards array<map<string,string>>, landed_at int"
+    rows = [("a", "old", [{"n": "1"}], 1), ("a", "new", [{"n": "2"}], 2), ("b", None, None, None)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(schema).parquet(source)
+    jobs.ingest(stream, "comments", log, f"{log}-marks").awaitTermination()
+    got = jobs.current(spark, "comments", log).orderBy("reddit_id").collect()
+    assert [(r.reddit_id, r.body, r.awards) for r in got] == [("a", "new", [{"n": "2"}]), ("b", None, None)]
+
+
 @pytest.mark.parametrize("part", range(4))
 def test_queries_match_their_sql(spark, sf_dir, part):
     from __spark_entry__ import oracle_sql, queries

@@ -380,7 +380,8 @@ define("resume_date", "content", """select strftime(d, '%Y-%m-%d') as latest_pro
   strftime(d + interval 1 day, '%Y-%m-%d') as resume_date, d + interval 1 day >= date '2024-02-01' as up_to_date
   from (select date_trunc('day', max(created_utc)) as d from content where processed_at is not null) t
   where d is not null""")
-define("ticker_daily_stats", "mentions content", """
+for name in ("ticker_daily_stats", "stream_daily_stats"):
+    define(name, "mentions content", """
   , dated as (select *, strftime(created_utc, '%Y-%m-%d') as date from mentions),
   contents as (select distinct d.ticker, d.date, d.kind, d.content_reddit_id, c.score + c.num_comments as engagement
     from dated d join content c on c.kind = d.kind and c.reddit_id = d.content_reddit_id),
@@ -441,11 +442,6 @@ define("stream_mentions", "direct", """select kind, content_reddit_id, ticker, s
   round(confidence, 6) as confidence, round(hype_score, 6) as hype_score from direct""")
 define("stream_contextual", "inherited", """select content_reddit_id, ticker, round(confidence, 6) as confidence,
   round(hype_score, 6) as hype_score, context_post_id from inherited""")
-define("stream_daily_stats", "totals_source", """select ticker, strftime(created_utc, '%Y-%m-%d') as date,
-  count(*) as mentions_count, count(*) filter (kind = 'post') as posts_count,
-  count(*) filter (kind = 'comment') as comments_count, round(round(sum(hype_score), 9) / count(*), 2) as avg_hype_score,
-  round(max(hype_score), 2) as max_hype_score from totals_source group by 1, 2""")
-
 STUB = r"""
   , answered as (select i.*, case when contains(text, 'risky') then 'no JSON in the response'
       when contains(text, 'holding') then 'ValueError: refused' end as error from items i),

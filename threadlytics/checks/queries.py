@@ -217,7 +217,11 @@ def schema_tolerant_mentions(spark, sf_dir):
 def mark_processed(spark, sf_dir):
     """Comments after a run: the analysed, the blank and the deleted ones are all marked."""
     comments = adapters.comments(spark, sf_dir)
-    marked = maintenance.mark_processed(comments, filters.unprocessed(comments), AS_OF)
+    plan = analysis.analyze_incremental(
+        adapters.posts(spark, sf_dir), comments, adapters.symbols(spark)
+    )
+    done = plan.handled.filter(F.col("kind") == "comment").select("reddit_id")
+    marked = maintenance.mark_processed(comments, done, AS_OF)
     return aggregates.iso_time(marked, "processed_at").select("reddit_id", "processed_at")
 
 
@@ -528,7 +532,7 @@ def run_summary(spark, sf_dir):
         adapters.symbols(spark),
         _on_record(spark, sf_dir),
     )
-    return aggregates.run_summary(*result)
+    return aggregates.run_summary(result.items, result.mentions)
 
 
 @query
@@ -697,10 +701,15 @@ def stream_mentions(spark, sf_dir):
 @query
 def stream_contextual(spark, sf_dir):
     run = folder(spark)
-    stored = cut_lineage(found(spark, sf_dir))
-    stream = adapters.comments(spark, sf_dir, adapters.stream)
-    jobs.contextual(stream, stored, f"{run}/log", f"{run}/checkpoint").awaitTermination()
-    return jobs.current_mentions(spark, f"{run}/log").select(
+    posts = filters.analyzable(filters.post_texts(adapters.posts(spark, sf_dir)))
+    symbols = adapters.symbols(spark)
+    direct.direct_mentions(posts, symbols).write.parquet(f"{run}/stored")
+    jobs.contextual(
+        filters.comment_texts(adapters.comments(spark, sf_dir, adapters.stream)), symbols,
+        lambda session: session.read.parquet(f"{run}/stored"), f"{run}/log", f"{run}/checkpoint",
+    ).awaitTermination()
+    rows = jobs.current_mentions(spark, f"{run}/log")
+    return rows.filter(F.col("method") == inheritance.CONTEXT_METHOD).select(
         "content_reddit_id", "ticker", six("confidence"), six("hype_score"), "context_post_id"
     )
 
@@ -708,9 +717,11 @@ def stream_contextual(spark, sf_dir):
 @query
 def stream_daily_stats(spark, sf_dir):
     run = folder(spark)
-    stream = adapters.mentions(spark, sf_dir, adapters.stream)
+    in_context(spark, sf_dir).write.parquet(f"{run}/mentions")
+    mentions = spark.read.parquet(f"{run}/mentions")
+    stream = spark.readStream.schema(mentions.schema).parquet(f"{run}/mentions")
     jobs.daily_stats(stream, f"{run}/log", f"{run}/checkpoint").awaitTermination()
-    rows = jobs.current_daily_stats(spark, f"{run}/log")
+    rows = jobs.current_daily_stats(spark, f"{run}/log", content(spark, sf_dir))
     return rows.withColumn("date", F.col("date").cast("string"))
 
 

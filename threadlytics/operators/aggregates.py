@@ -20,12 +20,21 @@ def _of_kind(kind: str) -> Column:
     return F.count_if(F.col("kind") == kind)
 
 
+# Sums of hype are sums of decimals: the order in which parts are added leaves no trace.
+ADDEND = "decimal(26,12)"
+
+
+def addend(hype: Column) -> Column:
+    """A hype score as a part of a sum; none where it is no finite number below 10^14."""
+    return hype.cast("double").try_cast(ADDEND)
+
+
 def exact(total: Column) -> Column:
-    """A sum without the noise of the order in which its parts were added.
+    """A sum of :func:`addend` as a double.
 
     Runs over other partitions, or after a lost executor, thus report the same means.
     """
-    return F.round(total, 9)
+    return F.round(total.cast("double"), 9)
 
 
 def ticker_counts(mentions: DataFrame) -> DataFrame:
@@ -64,7 +73,7 @@ def partial_totals(mentions: DataFrame) -> DataFrame:
         F.count("*").alias("total_mentions"),
         _of_kind("post").alias("total_posts"),
         _of_kind("comment").alias("total_comments"),
-        F.sum("hype_score").alias("hype_sum"),
+        F.sum(addend(F.col("hype_score"))).alias("hype_sum"),
         F.max("hype_score").alias("hype_max"),
         F.max("created_utc").alias("last_mentioned_at"),
     )
@@ -135,12 +144,12 @@ def running_hype(mentions: DataFrame, mention_id: str) -> DataFrame:
     before = W.partitionBy("ticker").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         sliced.groupBy("ticker", "slice")
-        .agg(F.count("*").alias("n"), F.sum("hype").alias("s"), F.max("hype").alias("m"))
+        .agg(F.count("*").alias("n"), F.sum(addend(F.col("hype"))).alias("s"), F.max("hype").alias("m"))
         .select(
             "ticker",
             "slice",
             F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"),
-            F.coalesce(F.sum("s").over(before), F.lit(0.0)).alias("s_before"),
+            F.coalesce(F.sum("s").over(before), F.lit(0).cast(ADDEND)).alias("s_before"),
             F.max("m").over(before).alias("m_before"),
         )
     )
@@ -150,7 +159,7 @@ def running_hype(mentions: DataFrame, mention_id: str) -> DataFrame:
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     n = F.col("n_before") + F.count("*").over(inside)
-    total = F.col("s_before") + F.sum("hype").over(inside)
+    total = F.col("s_before") + F.coalesce(F.sum(addend(F.col("hype"))).over(inside), F.lit(0).cast(ADDEND))
     peak = F.greatest(F.col("m_before"), F.max("hype").over(inside))
     return sliced.join(starts, ["ticker", "slice"]).select(
         "ticker",
@@ -246,31 +255,40 @@ def run_summary(content: DataFrame, mentions: DataFrame) -> DataFrame:
     )
 
 
-def daily_stats(mentions: DataFrame, content: DataFrame) -> DataFrame:
-    """Per ticker and day of the content: counts, hype, and engagement of distinct contents.
+DAILY_KEY = ["ticker", "kind", "reddit_id", "date"]
 
-    Engagement is the score of a content plus the comments of a post.  Mentions of one
-    content are made distinct before its engagement is counted, so a duplicate mention
-    counts once there and twice among the mentions.
-    """
+
+def daily_parts(mentions: DataFrame) -> DataFrame:
+    """Mentions and hype per ticker, content and day; parts of any split can be added up."""
     dated = mentions.filter(~is_blank(F.col("ticker"))).withColumn("ticker", F.upper("ticker"))
-    per_content = dated.groupBy(
+    return dated.groupBy(
         "ticker",
         "kind",
         F.col("content_reddit_id").alias("reddit_id"),
         F.to_date("created_utc").alias("date"),
     ).agg(
         F.count("*").alias("n"),
-        F.sum(F.col("hype_score").cast("double")).alias("hype_sum"),
+        F.sum(addend(F.col("hype_score"))).alias("hype_sum"),
         F.max(F.col("hype_score").cast("double")).alias("hype_max"),
     )
+
+
+def fold_daily(parts: DataFrame) -> DataFrame:
+    """Add up daily parts of several splits of the mentions."""
+    return parts.groupBy(*DAILY_KEY).agg(
+        F.sum("n").alias("n"), F.sum("hype_sum").alias("hype_sum"), F.max("hype_max").alias("hype_max")
+    )
+
+
+def present_daily(parts: DataFrame, content: DataFrame) -> DataFrame:
+    """The reported form of daily parts, one per ticker, content and day."""
     weight = content.select(
         "kind",
         "reddit_id",
         (F.coalesce("score", F.lit(0)) + F.coalesce("num_comments", F.lit(0))).alias("engagement"),
     )
     return (
-        per_content.join(weight, ["kind", "reddit_id"], "left")
+        parts.join(weight, ["kind", "reddit_id"], "left")
         .groupBy("ticker", "date")
         .agg(
             F.sum("n").alias("mentions_count"),
@@ -288,6 +306,17 @@ def daily_stats(mentions: DataFrame, content: DataFrame) -> DataFrame:
     )
 
 
+def daily_stats(mentions: DataFrame, content: DataFrame) -> DataFrame:
+    """Per ticker and day of the content: counts, hype, and engagement of distinct contents.
+
+    Engagement is the score of a content plus the comments of a post.  Mentions of one
+    content are made distinct before its engagement is counted, so a duplicate mention
+    counts once there and twice among the mentions.  Mentions without a time make a day of
+    their own.
+    """
+    return present_daily(daily_parts(mentions), content)
+
+
 def symbol_count(symbols: DataFrame) -> DataFrame:
     return symbols.agg(F.countDistinct("symbol").alias("symbols"))
 

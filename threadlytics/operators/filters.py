@@ -68,9 +68,8 @@ def preview(text: Column, width: int) -> Column:
     return F.left(F.coalesce(text, F.lit("")), F.lit(width))
 
 
-def content_union(posts: DataFrame, comments: DataFrame) -> DataFrame:
-    """Posts and comments as one stream of texts."""
-    from_posts = posts.select(
+def post_texts(posts: DataFrame) -> DataFrame:
+    return posts.select(
         F.lit("post").alias("kind"),
         F.col("reddit_id"),
         F.col("reddit_id").alias("post_reddit_id"),
@@ -80,7 +79,10 @@ def content_union(posts: DataFrame, comments: DataFrame) -> DataFrame:
         "created_utc",
         "processed_at",
     )
-    from_comments = comments.select(
+
+
+def comment_texts(comments: DataFrame) -> DataFrame:
+    return comments.select(
         F.lit("comment").alias("kind"),
         "reddit_id",
         "post_reddit_id",
@@ -90,7 +92,11 @@ def content_union(posts: DataFrame, comments: DataFrame) -> DataFrame:
         "created_utc",
         "processed_at",
     )
-    return from_posts.unionByName(from_comments)
+
+
+def content_union(posts: DataFrame, comments: DataFrame) -> DataFrame:
+    """Posts and comments as one stream of texts."""
+    return post_texts(posts).unionByName(comment_texts(comments))
 
 
 def analyzable(content: DataFrame) -> DataFrame:

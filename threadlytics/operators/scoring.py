@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,24 +18,37 @@ from threadlytics.functions.hype import guarded_hype
 from threadlytics.functions.responses import HYPE_FIELD, clean_json
 from threadlytics.operators.mentions import mentions_from_responses
 
-Scorer = Callable[[list[str]], list[str]]
+Scorer = Callable[[list[str]], list[str | Exception]]
 
 
-def _ask(df: DataFrame, text: str, make_scorer: Callable[[], Scorer]) -> DataFrame:
-    """Fill ``response`` or ``error`` of the rows whose ``open`` is true."""
+def _ask(df: DataFrame, text: str, make_scorer: Callable[[], Scorer], alone: bool) -> DataFrame:
+    """Fill ``response`` or ``error`` of the rows whose ``open`` is true, and count their ``calls``."""
 
-    def answer(scorer: Scorer, texts: list[str]) -> list[tuple[str | None, str | None]]:
+    def ask(scorer: Scorer, texts: list[str]) -> tuple[list, bool]:
+        """Replies or faults, one per text, and whether the call failed as a whole."""
         try:
             replies = list(scorer(texts))
-            if len(replies) == len(texts):
-                return [(reply, None) for reply in replies]
-            fault = ValueError(f"{len(replies)} responses to {len(texts)} texts")
-        except Exception as raised:  # noqa: BLE001 - a bad text must not end the job
-            fault = raised
-        if len(texts) == 1:
-            return [(None, f"{type(fault).__name__}: {fault}")]
-        # Something in the batch fails: ask one by one, so only the bad texts are lost.
-        return [pair for one in texts for pair in answer(scorer, [one])]
+            if len(replies) != len(texts):
+                raise ValueError(f"{len(replies)} responses to {len(texts)} texts")
+            return replies, False
+        except Exception as fault:  # noqa: BLE001 - a bad text must not end the job
+            return [fault] * len(texts), True
+
+    def answer(scorer: Scorer, texts: list[str]) -> list[tuple[str | None, str | None, int]]:
+        one_by_one, calls = alone, 1
+        if not alone:
+            replies, one_by_one = ask(scorer, texts)
+            if one_by_one and len(texts) > 1:
+                # Something in the batch fails: ask one by one, so only the bad texts are lost.
+                calls = 2
+            else:
+                one_by_one = False
+        if one_by_one:
+            replies = [ask(scorer, [one])[0][0] for one in texts]
+        return [
+            (None, f"{type(r).__name__}: {r}", calls) if isinstance(r, Exception) else (r, None, calls)
+            for r in replies
+        ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = None
@@ -45,37 +58,53 @@ def _ask(df: DataFrame, text: str, make_scorer: Callable[[], Scorer]) -> DataFra
             if any(waiting):
                 # One client per partition, made only when there is something to ask.
                 scorer = scorer or make_scorer()
-                texts = [t or "" for t, ask in zip(columns[text].to_pylist(), waiting) if ask]
+                texts = [t or "" for t, asked in zip(columns[text].to_pylist(), waiting) if asked]
                 answers = iter(answer(scorer, texts))
-                kept = zip(columns["response"].to_pylist(), columns["error"].to_pylist(), waiting)
-                filled = [next(answers) if ask else (reply, error) for reply, error, ask in kept]
-                columns["response"] = pa.array([r for r, _ in filled], pa.string())
-                columns["error"] = pa.array([e for _, e in filled], pa.string())
+                kept = zip(*(columns[c].to_pylist() for c in ("response", "error", "calls")), waiting)
+                filled = [next(answers) if asked else (reply, error, n) for reply, error, n, asked in kept]
+                columns["response"] = pa.array([r for r, _, _ in filled], pa.string())
+                columns["error"] = pa.array([e for _, e, _ in filled], pa.string())
+                columns["calls"] = pa.array([n for _, _, n in filled], pa.int32())
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return df.mapInArrow(run, schema=df.schema)
 
 
-def score_with(df: DataFrame, text: str, make_scorer: Callable[[], Scorer]) -> DataFrame:
-    """``df`` with ``response`` and ``error`` of a scorer; two attempts per text.
+def holds_json(response: Column) -> Column:
+    return clean_json(response) != ""
 
-    ``make_scorer`` is called once per partition and returns the scorer.  The second attempt
-    asks for the texts whose first response holds no JSON; both attempts and the check
-    between them run in one stage.
+
+def score_with(
+    df: DataFrame,
+    text: str,
+    make_scorer: Callable[[], Scorer],
+    usable: Callable[[Column], Column] = holds_json,
+    complaint: str = "no JSON in the response",
+) -> DataFrame:
+    """``df`` with ``response`` and ``error`` of a scorer, which gets a text twice at most.
+
+    ``make_scorer`` is called once per partition and returns the scorer.  A scorer may return
+    an exception in place of a response, which fails that text alone; if it raises, the texts
+    of its call are asked again one by one, and that was their second time.  Otherwise the
+    texts whose response is not ``usable`` are asked once more, each by itself.  Both attempts
+    and the check between them run in one stage.
     """
     first = _ask(
-        df.withColumn("response", F.lit(None).cast(T.StringType()))
-        .withColumn("error", F.lit(None).cast(T.StringType()))
-        .withColumn("open", F.lit(True)),
+        df.withColumns(
+            {
+                "response": F.lit(None).cast(T.StringType()),
+                "error": F.lit(None).cast(T.StringType()),
+                "calls": F.lit(0),
+                "open": F.lit(True),
+            }
+        ),
         text,
         make_scorer,
+        alone=False,
     )
-    unusable = (clean_json(F.col("response")) == "") & F.col("error").isNull()
-    second = _ask(first.withColumn("open", unusable), text, make_scorer)
-    still = (clean_json(F.col("response")) == "") & F.col("error").isNull()
-    return second.withColumn(
-        "error", F.when(still, "no JSON in the response").otherwise(F.col("error"))
-    ).drop("open")
+    poor = F.col("error").isNull() & ~F.coalesce(usable(F.col("response")), F.lit(False))
+    second = _ask(first.withColumn("open", poor & (F.col("calls") < 2)), text, make_scorer, alone=True)
+    return second.withColumn("error", F.when(poor, complaint).otherwise(F.col("error"))).drop("open", "calls")
 
 
 def mentions_with(content: DataFrame, make_scorer: Callable[[], Scorer]) -> DataFrame:
@@ -84,9 +113,17 @@ def mentions_with(content: DataFrame, make_scorer: Callable[[], Scorer]) -> Data
 
 
 def hype_with(comments: DataFrame, make_scorer: Callable[[], Scorer]) -> DataFrame:
-    """Comments with the ``hype_score`` of a scorer; failures and short texts are 0."""
-    scored = score_with(comments, "body", make_scorer)
-    value = F.get_json_object(clean_json(F.col("response")), HYPE_FIELD)
-    return scored.withColumn("hype_score", guarded_hype(F.col("body"), value)).drop(
+    """Comments with the ``hype_score`` of a scorer; failures and short texts are 0.
+
+    A response whose hype is not a number gets the second attempt as well.
+    """
+
+    def value(response: Column) -> Column:
+        return F.get_json_object(clean_json(response), HYPE_FIELD)
+
+    scored = score_with(
+        comments, "body", make_scorer, lambda r: value(r).try_cast("double").isNotNull(), "no hype in the response"
+    )
+    return scored.withColumn("hype_score", guarded_hype(F.col("body"), value(F.col("response")))).drop(
         "response", "error"
     )

@@ -13,16 +13,22 @@ from threadlytics.session import cut_lineage
 
 
 class Analysis(NamedTuple):
-    """``items``: contents looked at; ``mentions``: what they mention, before deduplication."""
+    """``items``: contents looked at; ``mentions``: what they mention, before deduplication;
+    ``handled``: (kind, reddit_id) of all that a run is done with, blank and deleted too."""
 
     items: DataFrame
     mentions: DataFrame
+    handled: DataFrame
 
 
 def _of_kind(content: DataFrame, kind: str) -> DataFrame:
     return content.filter(F.col("kind") == kind)
 
 
+def _handled(content: DataFrame) -> DataFrame:
+    return content.select("kind", "reddit_id")
+
+
 def _on_record(stored: DataFrame | None, found: DataFrame) -> DataFrame:
     """Mentions of earlier runs plus those just found, as far as inheritance needs them."""
     columns = ["kind", "content_reddit_id", "ticker", "company_name"]
@@ -49,22 +55,24 @@ def analyze_with_context(
     inherited = inheritance.contextual_inheritance(
         waiting, _on_record(stored, found), scored=inheritance.contextual_hype(waiting), hot=busy
     )
-    return Analysis(items, found.unionByName(inherited))
+    return Analysis(items, found.unionByName(inherited), _handled(content))
 
 
 def analyze_stored(posts: DataFrame, comments: DataFrame, symbols: DataFrame,
                    mentions: DataFrame) -> Analysis:
     """Batch path: direct mentions of contents that have none on record."""
-    items = filters.analyzable(
-        direct.unanalyzed(filters.content_union(posts, comments), mentions)
-    )
-    return Analysis(items, direct.direct_mentions(items, symbols))
+    content = direct.unanalyzed(filters.content_union(posts, comments), mentions)
+    items = filters.analyzable(content)
+    return Analysis(items, direct.direct_mentions(items, symbols), _handled(content))
 
 
 def analyze_incremental(posts: DataFrame, comments: DataFrame, symbols: DataFrame,
                         mentions: DataFrame | None = None,
                         comment_limit: int | None = None) -> Analysis:
-    """Incremental path: contents not processed yet, the oldest comments first."""
+    """Incremental path: contents not processed yet, the oldest comments first.
+
+    ``maintenance.mark_processed`` takes ``handled`` once the mentions are stored.
+    """
     waiting = filters.unprocessed(comments)
     if comment_limit is not None:
         waiting = filters.oldest_first(waiting, comment_limit)
@@ -79,7 +87,7 @@ def analyze_on_arrival(posts: DataFrame, comments: DataFrame, symbols: DataFrame
     ``comments`` needs ``parent_kind``.
     """
     content = filters.content_union(posts, comments)
-    items, found = analyze_with_context(content, symbols, mentions)
+    items, found, handled = analyze_with_context(content, symbols, mentions)
     found = cut_lineage(found)
     tagged = found if mentions is None else found.select(
         "kind", "content_reddit_id", "ticker", "confidence"
@@ -100,4 +108,4 @@ def analyze_on_arrival(posts: DataFrame, comments: DataFrame, symbols: DataFrame
         "inherited_from",
         "created_utc",
     )
-    return Analysis(items, found.unionByName(handed_down, allowMissingColumns=True))
+    return Analysis(items, found.unionByName(handed_down, allowMissingColumns=True), handled)

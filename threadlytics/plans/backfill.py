@@ -49,7 +49,7 @@ def backfill(
 ) -> Analysis:
     """Analysis of the waiting contents of the range; ``items`` holds all of them."""
     waiting = waiting_content(content, start, end)
-    return Analysis(waiting, analyze_with_context(waiting, symbols, stored).mentions)
+    return analyze_with_context(waiting, symbols, stored)._replace(items=waiting)
 
 
 def daily_report(result: Analysis, start: str, end: str) -> DataFrame:

@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from threadlytics.functions.text import is_blank
-from threadlytics.operators import aggregates, inheritance, mentions as direct
+from threadlytics.operators import aggregates, mentions as direct
 from threadlytics.operators.filters import analyzable
 from threadlytics.operators.maintenance import latest_per_key
+from threadlytics.plans import analysis
 from threadlytics.schemas import KEYS
 
 BATCH = "batch_id"
@@ -50,25 +50,37 @@ def run(
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame | None:
-    """All batches of a log, or None before the first one."""
+    """All batches of a log, or None before the first one; any other error is raised."""
     try:
-        return spark.read.option("basePath", path).parquet(f"{path}/{BATCH}=*")
-    except AnalysisException:
+        return (
+            spark.read.option("basePath", path).option("mergeSchema", True).parquet(f"{path}/{BATCH}=*")
+        )
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
-def ingest(stream: DataFrame, table: str, path: str, checkpoint: str) -> StreamingQuery:
+# A table that batches look up: a frame that never changes, or a function that reads it anew.
+Table = DataFrame | Callable[[SparkSession], DataFrame]
+
+
+def _now(table: Table, spark: SparkSession) -> DataFrame:
+    return table(spark) if callable(table) else table
+
+
+def ingest(
+    stream: DataFrame, table: str, path: str, checkpoint: str, order: str = "landed_at"
+) -> StreamingQuery:
     """Keyed upsert of normalised posts or comments; the last landed row of a key wins.
 
-    ``stream`` may have a ``landed_at`` column that orders rows of one batch.
+    ``order`` names the column that tells which row of one batch landed last.
     """
-    keys = KEYS[table]
+    if order not in stream.columns:
+        raise ValueError(f"the stream has no column {order!r} to tell the last row of a key")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        order = ["landed_at"] if "landed_at" in batch.columns else [
-            c for c in batch.columns if c not in keys
-        ]
-        append_batch(path)(latest_per_key(batch, keys, order), batch_id)
+        append_batch(path)(latest_per_key(batch, KEYS[table], [order]), batch_id)
 
     return run(stream, upsert, checkpoint)
 
@@ -79,14 +91,15 @@ def current(spark: SparkSession, table: str, path: str) -> DataFrame:
     return latest_per_key(log, KEYS[table], [BATCH]).drop(BATCH)
 
 
-def mentions(stream: DataFrame, symbols: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def mentions(stream: DataFrame, symbols: Table, path: str, checkpoint: str) -> StreamingQuery:
     """Direct mentions of a stream of contents, each content once across restarts.
 
     No watermark: a late row is analysed like any other.
     """
 
     def analyze(batch: DataFrame, batch_id: int) -> None:
-        append_batch(path)(direct.direct_mentions(analyzable(batch), symbols), batch_id)
+        found = direct.direct_mentions(analyzable(batch), _now(symbols, batch.sparkSession))
+        append_batch(path)(found, batch_id)
 
     return run(stream, analyze, checkpoint)
 
@@ -97,57 +110,39 @@ def current_mentions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def contextual(
-    stream: DataFrame, stored: DataFrame, path: str, checkpoint: str
+    stream: DataFrame, symbols: Table, stored: Table, path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Mentions that untagged comments of a stream inherit from stored post mentions.
+    """Mentions of a stream of contents: direct ones, and for untagged comments inherited ones.
 
-    ``stored`` holds mentions of posts, and of comments that are tagged themselves and so
-    inherit nothing; it is read again in every batch.
+    A comment is asked for tickers of its own before it inherits any.  ``stored`` holds the
+    mentions of posts; a function is called in every batch, so that posts analysed in the
+    meantime hand their tickers down, while a frame stays as it was when the job started.
     """
 
-    def inherit(batch: DataFrame, batch_id: int) -> None:
-        append_batch(path)(inheritance.contextual_inheritance(batch, stored), batch_id)
+    def analyze(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        found = analysis.analyze_with_context(batch, _now(symbols, spark), _now(stored, spark))
+        append_batch(path)(found.mentions, batch_id)
 
-    return run(stream, inherit, checkpoint)
+    return run(stream, analyze, checkpoint)
 
 
-def daily_stats(
-    stream: DataFrame, path: str, checkpoint: str, lateness: str = "7 days"
-) -> StreamingQuery:
-    """Live counts and hype per ticker and day.
+def daily_stats(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Live counts and hype per ticker and day: every batch logs the parts of its own mentions.
 
-    Emits the days that changed; rows later than ``lateness`` are left to the batch report.
+    No row is too late, and those without a time count as they do in the batch report.
     """
-    days = (
-        stream.filter(~is_blank(F.col("ticker")))
-        .withColumn("ticker", F.upper("ticker"))
-        .withWatermark("created_utc", lateness)
-        .groupBy("ticker", F.window("created_utc", "1 day").alias("day"))
-        .agg(
-            F.count("*").alias("mentions_count"),
-            F.count_if(F.col("kind") == "post").alias("posts_count"),
-            F.count_if(F.col("kind") == "comment").alias("comments_count"),
-            F.sum("hype_score").alias("hype_sum"),
-            F.max("hype_score").alias("max_hype"),
-        )
-        .select("ticker", F.to_date("day.start").alias("date"), "mentions_count", "posts_count",
-                "comments_count", "hype_sum", "max_hype")
-    )
-    return run(days, append_batch(path), checkpoint, mode="update")
-
-
-def current_daily_stats(spark: SparkSession, path: str) -> DataFrame:
-    """Last state of each ticker and day of a daily log."""
-    last = latest_per_key(read_log(spark, path), KEYS["ticker_daily_stats"], [BATCH])
-    return last.select(
-        "ticker",
-        "date",
-        "mentions_count",
-        "posts_count",
-        "comments_count",
-        F.round(aggregates.exact(F.col("hype_sum")) / F.col("mentions_count"), 2).alias("avg_hype_score"),
-        F.round("max_hype", 2).alias("max_hype_score"),
-    )
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        append_batch(path)(aggregates.daily_parts(batch), batch_id)
+
+    return run(stream, add, checkpoint)
+
+
+def current_daily_stats(spark: SparkSession, path: str, content: DataFrame) -> DataFrame:
+    """``aggregates.daily_stats`` of all batches so far, with the engagement of ``content``."""
+    parts = aggregates.fold_daily(read_log(spark, path).drop(BATCH))
+    return aggregates.present_daily(parts, content)
 
 
 def ticker_totals(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
