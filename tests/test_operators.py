@@ -477,14 +477,19 @@ def test_no_text_is_asked_three_times(spark):
         assert [calls[t].value - before[t] for t in texts] == counts
 
 
-def test_hype_that_is_no_number_is_asked_again(spark):
+def test_hype_that_is_no_number_is_asked_again(spark, tmp_path):
     df = spark.createDataFrame([("a", "to the moon")], "reddit_id string, body string")
+    asked = tmp_path / "asked"
 
     def make():
-        replies = iter(['{"contextual_hype": "high"}', '{"contextual_hype": 0.5}'])
-        return lambda texts: [next(replies) for _ in texts]
+        def score(texts):
+            value = "0.5" if asked.exists() else '"high"'
+            asked.touch()
+            return [f'{{"contextual_hype": {value}}}' for _ in texts]
+
+        return score
 
-    assert scoring.hype_with(df, make).first()["hype_score"] == 0.5
+    assert scoring.hype_with(df, make).collect()[0]["hype_score"] == 0.5
 
 
 def test_wrong_number_of_replies_is_an_error(spark):

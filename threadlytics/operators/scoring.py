@@ -83,7 +83,7 @@ def score_with(
 ) -> DataFrame:
     """``df`` with ``response`` and ``error`` of a scorer, which gets a text twice at most.
 
-    ``make_scorer`` is called once per partition and returns the scorer.  A scorer may return
+    ``make_scorer`` is called once per partition and attempt, and returns the scorer.  A scorer may return
     an exception in place of a response, which fails that text alone; if it raises, the texts
     of its call are asked again one by one, and that was their second time.  Otherwise the
     texts whose response is not ``usable`` are asked once more, each by itself.  Both attempts
