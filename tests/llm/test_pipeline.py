@@ -7,7 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
-from test_operators import brute_fingerprint, brute_lines, brute_targets, roots, words
+from test_corpus_operators import brute_fingerprint, brute_lines, brute_targets, roots, words
 
 import __spark_entry__
 import corpus_pipeline
