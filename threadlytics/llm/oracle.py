@@ -116,4 +116,93 @@ select doc_id, len(l)::bigint n_lines, (len(l) - len(i))::bigint n_dropped,
 from stay
 """
 
-ORACLE = {"op1_substrings": OP1, "op5_lines": OP5, "op2_embeddings": OP2, "op3_topk": OP3, "op9_mixing": OP9}
+OP11 = r"""
+with split as (
+  select doc_id, coalesce(lang, '') part, coalesce(text, '') t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w
+  from documents
+),
+marks as (
+  select doc_id, coalesce(max(quality = 1), false) good, coalesce(max(toxic = 1), false) toxic from labels group by doc_id
+),
+masked as (
+  select part, coalesce(good, false) good, coalesce(toxic, false) toxic,
+    (len(w) < 100)::int + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::int
+    + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t))::int
+    + 8 * regexp_matches(t, '[#$%&*|]')::int
+    + 16 * coalesce(s.doc_id > min(s.doc_id) over (partition by t), false)::int m
+  from split s left join marks using (doc_id)
+),
+folded as (
+  select part, m, count(*) n, count(*) filter (good) g, count(*) filter (toxic) x from masked group by part, m
+),
+filters as (select i, 1 << i::int b, substr('ABCDE', i + 1, 1) c from range(5) r(i)),
+orders as (
+  select a.c || b.c || c.c || d.c || e.c filter_order, [a.b, b.b, c.b, d.b, e.b] bits
+  from filters a, filters b, filters c, filters d, filters e where a.b + b.b + c.b + d.b + e.b = 31
+    and len(list_distinct([a.b, b.b, c.b, d.b, e.b])) = 5
+),
+steps as (
+  select filter_order, s::int step, bits[s] b, coalesce(list_sum(bits[1:s - 1]), 0)::int before
+  from orders, range(1, 6) r(s)
+),
+told as (
+  select part, filter_order, step, b,
+    coalesce(sum(n) filter (m & (before | b) = 0), 0) kept,
+    coalesce(sum(n) filter (m & before = 0 and m & b <> 0), 0) removed,
+    coalesce(sum(n) filter (m & before <> 0 and m & b <> 0), 0) redundant,
+    coalesce(sum(n) filter (m = b), 0) unique_fails,
+    coalesce(sum(g) filter (m & before = 0 and m & b <> 0), 0) good_lost,
+    coalesce(sum(x) filter (m & before = 0 and m & b <> 0), 0) toxic_lost
+  from folded, steps group by part, filter_order, step, b
+)
+select part, filter_order, step, kept::bigint kept, removed::bigint removed, redundant::bigint redundant,
+  unique_fails::bigint unique_fails, good_lost::bigint good_lost, toxic_lost::bigint toxic_lost,
+  (sum(removed) over (partition by part, b))::bigint shapley
+from told
+"""
+
+OP13 = r"""
+with words as (
+  select row_number() over () d, coalesce(lang, '') lang, coalesce(source, '') source, unnest(list_transform(
+    regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'),
+    lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) term
+  from documents
+),
+kept as materialized (select lang, term, count(*) n from words group by lang, term having count(distinct d) >= 3),
+counted as materialized (select lang, source, term, count(*) n from words semi join kept using (lang, term) group by all),
+langs as (select lang, sum(n) total, count(*) v from kept group by lang),
+groups as materialized (
+  select g.lang, g.source, coalesce(l.v, 0) v, coalesce(l.total, 0) lang_total,
+    coalesce((select sum(n) from counted c where c.lang = g.lang and c.source = g.source), 0) total
+  from (select distinct coalesce(lang, '') lang, coalesce(source, '') source from documents) g left join langs l using (lang)
+),
+shares as materialized (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) n,
+    1 + (1000000000::hugeint * (coalesce(c.n, 0) + 1)) // (g.total + g.v)::hugeint p,
+    1 + (1000000000::hugeint * (k.n + 1)) // (g.lang_total + g.v)::hugeint q
+  from groups g join kept k using (lang) left join counted c on c.lang = g.lang and c.source = g.source and c.term = k.term
+),
+summed as (
+  select a.lang, a.source, b.source item, sum((a.p - b.p) * (a.p - b.p) // b.p) value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+),
+pairs as (
+  select a.lang, a.source, b.source item, coalesce(s.value, 0)::bigint value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join summed s on s.lang = a.lang and s.source = a.source and s.item = b.source
+),
+terms as (
+  select lang, source, term item, ((p - q) * (p - q) // q)::bigint value from shares where n > 0 and p > q
+),
+ranked as (
+  select lang, source, 'pair' part, item, value,
+    row_number() over (partition by lang, source order by value desc, item)::int "rank" from pairs
+  union all
+  select lang, source, 'term', item, value,
+    row_number() over (partition by lang, source order by value desc, item)::int "rank" from terms
+)
+select * from ranked where part = 'pair' or "rank" <= 200
+"""
+
+ORACLE = {"op1_substrings": OP1, "op5_lines": OP5, "op2_embeddings": OP2, "op3_topk": OP3, "op9_mixing": OP9, "op11_filters": OP11, "op13_divergence": OP13}

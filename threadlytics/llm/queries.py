@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from threadlytics.llm import credentials, lines, mixing, packing, pages, quality, quantisation, simhash, substring, topk
+from threadlytics.llm import credentials, divergence, interaction, labelling, lines, mixing, packing, pages, quality, quantisation, simhash, substring, topk
 from threadlytics.llm.common import table
 
 
@@ -64,3 +64,17 @@ def op2_embeddings(spark, sf_dir):
 def op1_substrings(spark, sf_dir):
     kept = substring.drop_repeats(table(spark, sf_dir, "documents"), window=35, anchor=8)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op11_filters(spark, sf_dir):
+    masks = interaction.document_masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return interaction.audit(masks, "ABCDE")
+
+
+def op12_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return labelling.judge(docs, labelling.train(docs, table(spark, sf_dir, "labels"), sample=6000), share=0.3)
+
+
+def op13_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=3, top=200)
