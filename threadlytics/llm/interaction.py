@@ -145,13 +145,15 @@ def document_masks(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.coalesce(F.max(F.col("quality") == 1), F.lit(False)).alias("good"),
         F.coalesce(F.max(F.col("toxic") == 1), F.lit(False)).alias("toxic"),
     )
-    known = seen.where("doc_id is not null").join(marks, "doc_id", "left").select(
+    # Rows without a doc_id go where their text goes, and meet no label there.
+    key = [F.coalesce("doc_id", F.xxhash64("digest")).alias("key"), F.col("doc_id").isNull().alias("nameless")]
+    marks = marks.select(F.col("doc_id").alias("key"), F.lit(False).alias("nameless"), "good", "toxic")
+    known = seen.select("*", *key).join(marks, ["key", "nameless"], "left").select(
         *seen.columns, F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("toxic", F.lit(False)).alias("toxic")
     )
-    nameless = seen.where("doc_id is null").withColumns({"good": F.lit(False), "toxic": F.lit(False)})
     # All that a group of copies needs is its least doc_id and how many rows have it; folded before
     # the shuffle, a text of any number of copies is one row per part and label.
-    kinds = known.union(nameless).groupBy("digest", "part", "mask", "good", "toxic").agg(
+    kinds = known.groupBy("digest", "part", "mask", "good", "toxic").agg(
         F.sum("n").alias("n"),
         F.sum(F.when(F.col("doc_id").isNull(), F.col("n")).otherwise(0)).alias("nameless"),
         F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "n"))).alias("first"),
