@@ -142,11 +142,20 @@ def brute_counts(text):
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
 
+def fitted(sequences, **how):
+    """The field of sequences of (features, label)."""
+    lines = [(r, features, label) for r, s in enumerate(sequences) for features, label in s]
+    names = sorted({f for _, features, _ in lines for f in features})
+    pairs = [(i, names.index(f)) for i, (_, features, _) in enumerate(lines) for f in features]
+    line, feature = np.array(pairs, np.int64).reshape(-1, 2).T
+    return labelling.fit(np.array([r for r, _, _ in lines], np.int64), np.array([y for *_, y in lines], np.int64), line, feature, names, **how)
+
+
 def test_line_rule_counts(rows, docs):
-    everything = labelling.judge(docs, labelling.fit([]))
+    everything = labelling.judge(docs, fitted([]))
     want = sorted(((r[0], *brute_counts(r[1]), not brute_counts(r[1])[-1]) for r in rows), key=repr)
     assert got(everything, "doc_id", *COUNTS, "kept") == want
-    assert labelling.judge(docs.limit(0), labelling.fit([])).count() == 0
+    assert labelling.judge(docs.limit(0), fitted([])).count() == 0
 
 
 def test_repeated_words_against_windows():
@@ -164,7 +173,7 @@ def score_of(path, scores, moves):
 def test_decoding_and_marginals_against_all_paths():
     rng = np.random.default_rng(4)
     sequences, moves = [rng.normal(size=n) for n in (7, 5, 5, 2, 1)], rng.normal(size=(2, 2))
-    field = labelling.Field({}, {}, moves)
+    field = labelling.Field({}, moves)
     padded = np.zeros((5, 7))
     for r, s in enumerate(sequences):
         padded[r, : len(s)] = s
@@ -180,7 +189,7 @@ def test_decoding_and_marginals_against_all_paths():
             for a, b in zip(p, p[1:]):
                 expected[a, b] += w
     np.testing.assert_allclose(pairs, expected)
-    assert field.decode([]) == [] and labelling.Field({}, {}, np.zeros((2, 2))).decode([0.0, 0.0]) == [1, 1]
+    assert field.decode([]) == [] and labelling.Field({}, np.zeros((2, 2))).decode([0.0, 0.0]) == [1, 1]
 
 
 def test_fitted_weights_are_those_of_the_steepest_climb():
@@ -192,21 +201,21 @@ def test_fitted_weights_are_those_of_the_steepest_climb():
         run = []
         for _ in range(rng.randint(1, 6)):
             label = label if rng.random() < 0.8 else 1 - label
-            run.append((["bias", f"f {label if rng.random() < 0.8 else 1 - label}"], [b"w"] if rng.random() < 0.3 else [], label))
+            run.append(([b" bias", b" f %d" % (label if rng.random() < 0.8 else 1 - label)] + ([b"w"] if rng.random() < 0.3 else []), label))
         sequences.append(run)
-    field = labelling.fit(sequences, least=1, evidence=0.0, rounds=3000, penalty=1e-2)
-    names = sorted(field.shapes) + sorted(field.words)
+    field = fitted(sequences, least=1, evidence=0.0, rounds=3000, penalty=1e-2)
+    names = sorted(field.weights)
     n = sum(map(len, sequences))
 
     def loss(w, moves):
         weight, total = dict(zip(names, w)), 0.0
         for run in sequences:
-            scores = [sum(weight.get(f, 0) for f in (*s, *x)) for s, x, _ in run]
+            scores = [sum(weight[f] for f in features) for features, _ in run]
             paths = list(product((0, 1), repeat=len(run)))
-            total += np.logaddexp.reduce([score_of(p, scores, moves) for p in paths]) - score_of([y for *_, y in run], scores, moves)
+            total += np.logaddexp.reduce([score_of(p, scores, moves) for p in paths]) - score_of([y for _, y in run], scores, moves)
         return total / n + 0.5 * 1e-2 * (np.square(w).sum() + np.square(moves).sum())
 
-    at = np.array([field.shapes.get(f, field.words.get(f)) for f in names])
+    at = np.array([field.weights[f] for f in names])
     best = loss(at, field.moves)
     for i in range(len(at)):
         for step in (-0.05, 0.05):
@@ -221,17 +230,12 @@ def test_fitted_weights_are_those_of_the_steepest_climb():
 
 
 def test_labels_of_lines_tell_copies_from_boilerplate():
-    def run(doc, *keys):
-        return [(doc, at, 1, key, ["bias"], []) for at, key in enumerate(keys)]
-
-    rows = [r for d in range(9) for r in run(d, b"a", b"b", b"c")]
-    rows += [r for d in range(20, 29) for r in run(d, b"x%d" % d, b"licence")] + [(50, 0, 0, b"poor", ["bias"], [])]
-    labels = defaultdict(set)
-    for sequence, doc in zip(labelling.labelled_runs(rows, 5), sorted({r[0] for r in rows})):
-        for (_, _, label), row in zip(sequence, [r for r in rows if r[0] == doc]):
-            labels[row[3]].add(label)
-    assert labels[b"a"] == labels[b"b"] == labels[b"c"] == labels[b"x20"] == {1}
-    assert labels[b"licence"] == labels[b"poor"] == {0}
+    A, B, C, LICENCE, POOR = 1, 2, 3, 4, 5
+    runs = [(A, B, C)] * 9 + [(100 + d, LICENCE) for d in range(9)] + [(POOR,)]
+    run, key = zip(*[(r, k) for r, keys in enumerate(runs) for k in keys])
+    key = np.array(key)
+    found = labelling.line_labels(np.array(run), key, np.where(key == POOR, 0, 1), 5)
+    assert {k: set(found[key == k].tolist()) for k in (A, B, C, 100, LICENCE, POOR)} == {A: {1}, B: {1}, C: {1}, 100: {1}, LICENCE: {0}, POOR: {0}}
 
 
 def test_held_out_accuracy_of_line_rules(spark):
@@ -246,8 +250,8 @@ def test_held_out_accuracy_of_line_rules(spark):
 def test_training_again_gives_the_same_field(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     one, two = (labelling.train(d, labels, sample=100) for d in (docs, docs.repartition(7)))
-    assert one.shapes == two.shapes and one.words == two.words and (one.moves == two.moves).all()
-    assert labelling.train(docs, labels.limit(0)).words == {}
+    assert one.weights == two.weights and (one.moves == two.moves).all()
+    assert labelling.train(docs, labels.limit(0)).decode([50.0]) == [labelling.CONTENT]
 
 
 # Divergence

@@ -9,7 +9,6 @@ share of its text in content lines decides whether it is kept, next to fixed cou
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,31 +34,31 @@ def level(share: float) -> int:
 LEVELS = [level(i / 256) for i in range(257)]
 
 
-def shape(line: bytes, words: list[bytes], repeated: bool, last: bool) -> list[str]:
-    """Names of the shape features of a line that has ``words``."""
+def shape(line: bytes, words: list[bytes], repeated: bool, last: bool) -> list[bytes]:
+    """Names of the shape features of a line that has ``words``; they begin with a space, which words never do."""
     n, size = len(words), len(line)
 
     def part(held: bytes, of: int) -> int:
         return LEVELS[min(256, 256 * (size - len(line.translate(None, held))) // of)]
 
     found = [
-        "bias",
-        f"symbols {part(SYMBOLS, size)}",
-        f"upper {part(UPPER, size)}",
-        f"digits {part(DIGITS, size)}",
-        f"shouts {part(b'!', n)}",
-        f"bars {part(b'|', n)}",
-        f"stops {part(b'.,;:', n)}",
-        f"words {n.bit_length()}",
-        f"letters {min(size // n, 24) // 3}",
-        f"end {line.rstrip()[-1:] in (b'.', b'!', b'?')}",
+        b" bias",
+        b" symbols %d" % part(SYMBOLS, size),
+        b" upper %d" % part(UPPER, size),
+        b" digits %d" % part(DIGITS, size),
+        b" shouts %d" % part(b"!", n),
+        b" bars %d" % part(b"|", n),
+        b" stops %d" % part(b".,;:", n),
+        b" words %d" % n.bit_length(),
+        b" letters %d" % (min(size // n, 24) // 3),
+        b" ends" if line.rstrip()[-1:] in (b".", b"!", b"?") else b" open",
     ]
     if n >= 8:
-        found.append(f"distinct {len(set(words)) * 8 // n}")
+        found.append(b" distinct %d" % (len(set(words)) * 8 // n))
     if repeated:
-        found.append("repeated")
+        found.append(b" repeated")
     if last:
-        found.append("last")
+        found.append(b" last")
     return found
 
 
@@ -80,15 +79,12 @@ def vocabulary(words: list[bytes]) -> set[bytes]:
 class Field:
     """Weights for content over boilerplate by feature, and scores of (label before, label)."""
 
-    shapes: dict[str, float]
-    words: dict[bytes, float]
+    weights: dict[bytes, float]
     moves: np.ndarray
 
     def score(self, line: bytes, words: list[bytes], repeated: bool, last: bool) -> float:
-        total = sum(self.shapes.get(f, 0.0) for f in shape(line, words, repeated, last))
-        if self.words:
-            total += sum(self.words[w] for w in sorted(vocabulary(words) & self.words.keys()))
-        return total
+        held = sorted(vocabulary(words) & self.weights.keys())
+        return sum(self.weights.get(f, 0.0) for f in shape(line, words, repeated, last) + held)
 
     def decode(self, scores: list[float]) -> list[int]:
         """The labels of the best path; of equal paths the one that says content later on."""
@@ -136,58 +132,45 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray):
     return content, pairs
 
 
-def fit(sequences: list[list[tuple[list[str], list[bytes], int]]], least: int = 8, evidence: float = 6.0, rounds: int = 150,
-        pace: float = 0.5, penalty: float = 1e-4) -> Field:
-    """Weights of the highest likelihood of labelled sequences of (shapes, words, label).
+def fit(run: np.ndarray, label: np.ndarray, line: np.ndarray, feature: np.ndarray, names: list[bytes], least: int = 8,
+        evidence: float = 6.0, rounds: int = 150, pace: float = 0.5, penalty: float = 1e-4) -> Field:
+    """Weights of the highest likelihood of labelled sequences.
 
-    Shapes count from ``least`` lines on.  Words count if in addition their share of boilerplate
-    lines is ``evidence`` standard deviations from the overall one.  Full-batch AdaGrad, so
-    reruns agree.  Without sequences every line is content.
+    ``run`` and ``label`` are those of each line, runs numbered from 0 and in order; ``line`` and
+    ``feature`` are the pairs of a line and a feature that it has, ``names`` in ascending order.  Shapes
+    count from ``least`` lines on.  Words count if in addition their share of boilerplate lines is
+    ``evidence`` standard deviations from the overall one.  Full-batch AdaGrad, so reruns agree.
+    Without lines every line is content.
     """
-    sequences = sorted((s for s in sequences if s), key=len, reverse=True)
-    if not sequences:
-        return Field({"bias": 50.0}, {}, np.zeros((2, 2)))
-    lines = [(r, t, line) for r, s in enumerate(sequences) for t, line in enumerate(s)]
-    y = np.array([line[2] for _, _, line in lines])
-    seen, bad = Counter(), Counter()
-    for _, _, (shapes, words, label) in lines:
-        seen.update(shapes)
-        seen.update(words)
-        if label == BOILERPLATE:
-            bad.update(words)
-    rate = ((y == BOILERPLATE).sum() + 0.5) / (len(y) + 1)
-
-    def telling(feature) -> bool:
-        n = seen[feature]
-        return n >= least and (isinstance(feature, str) or abs(bad[feature] - n * rate) >= evidence * np.sqrt(n * rate * (1 - rate)))
-
-    used = sorted((f for f in seen if telling(f)), key=repr)
-    number = {f: i for i, f in enumerate(used)}
-    flat = [(at, number[f]) for at, (_, _, line) in enumerate(lines) for f in (*line[0], *line[1]) if f in number]
-    line_of, feature_of = np.array(flat, np.int64).reshape(-1, 2).T
-    row, column = np.array([r for r, _, _ in lines]), np.array([t for _, t, _ in lines])
-    lengths = np.array([len(s) for s in sequences])
-    told = np.zeros((2, 2))
-    for s in sequences:
-        for before, after in zip(s, s[1:]):
-            told[before[2], after[2]] += 1
-    w, moves = np.zeros(len(used)), np.zeros((2, 2))
-    past, moves_past = np.full(len(used), 1e-8), np.full((2, 2), 1e-8)
-    scores = np.zeros((len(sequences), lengths[0]))
+    if not len(run):
+        return Field({b" bias": 50.0}, np.zeros((2, 2)))
+    seen = np.bincount(feature, minlength=len(names))
+    bad = np.bincount(feature, weights=label[line] == BOILERPLATE, minlength=len(names))
+    rate = ((label == BOILERPLATE).sum() + 0.5) / (len(label) + 1)
+    shapes = np.array([name[:1] == b" " for name in names], bool)
+    used = (seen >= least) & (shapes | (np.abs(bad - seen * rate) >= evidence * np.sqrt(seen * rate * (1 - rate))))
+    line, feature = line[used[feature]], (np.cumsum(used) - 1)[feature[used[feature]]]
+    names = [name for name, telling in zip(names, used) if telling]
+    lengths = np.bincount(run)
+    place = np.argsort(np.argsort(-lengths, kind="stable"))
+    row, column = place[run], np.arange(len(run)) - (np.cumsum(lengths) - lengths)[run]
+    lengths = -np.sort(-lengths)
+    told, next_to = np.zeros((2, 2)), run[1:] == run[:-1]
+    np.add.at(told, (label[:-1][next_to], label[1:][next_to]), 1)
+    w, moves = np.zeros(len(names)), np.zeros((2, 2))
+    past, moves_past = np.full(len(names), 1e-8), np.full((2, 2), 1e-8)
+    scores = np.zeros((len(lengths), lengths[0]))
     for _ in range(rounds):
-        scores[row, column] = np.bincount(line_of, weights=w[feature_of], minlength=len(lines))
+        scores[row, column] = np.bincount(line, weights=w[feature], minlength=len(run))
         content, pairs = marginals(scores, lengths, moves)
-        error = content[row, column] - y
-        grad = np.bincount(feature_of, weights=error[line_of], minlength=len(used)) / len(y) + penalty * w
+        error = content[row, column] - label
+        grad = np.bincount(feature, weights=error[line], minlength=len(names)) / len(run) + penalty * w
         past += grad**2
         w -= pace * grad / np.sqrt(past)
-        grad = (pairs - told) / len(y) + penalty * moves
+        grad = (pairs - told) / len(run) + penalty * moves
         moves_past += grad**2
         moves -= pace * grad / np.sqrt(moves_past)
-    weights = dict(zip(used, w.tolist()))
-    return Field(
-        {f: v for f, v in weights.items() if isinstance(f, str)}, {f: v for f, v in weights.items() if isinstance(f, bytes)}, moves
-    )
+    return Field(dict(zip(names, w.tolist())), moves)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 6000, shared: int = 5) -> Field:
@@ -195,8 +178,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 6000, shared: int =
     their doc_id; a run is at most 64 lines long and starts where a hash says.
 
     Lines of documents labelled good are content, those of others boilerplate, as are lines that
-    stand next to ``shared`` different lines.  Of repeated labels the lowest counts, labels with a null do
-    not.  The sample bounds what the driver receives.
+    stand next to ``shared`` different lines.  Of repeated labels the lowest counts, labels with a
+    null do not.  The sample bounds what the driver receives, which stays in Arrow and numpy arrays.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     chosen = known.agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -209,35 +192,39 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 6000, shared: int =
                 found = list(line_sequence(text))
                 start = int.from_bytes(hashlib.md5(b"%d" % doc).digest()[:4], "big") % max(1, len(found) - RUN + 1)
                 for at, (line, words, repeated, last) in enumerate(found[start : start + RUN]):
-                    key = hashlib.md5(line.strip().lower()).digest()[:8]
-                    out.append((doc, at, int(good), key, shape(line, words, repeated, last), sorted(vocabulary(words))))
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.binary())]
+                    key = int.from_bytes(hashlib.md5(line.strip().lower()).digest()[:8], "big", signed=True)
+                    out.append((doc, at, key, int(good), [*shape(line, words, repeated, last), *vocabulary(words)]))
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.binary())]
             yield pa.record_batch(
-                [pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 6, kinds)], ["doc", "at", "good", "line", "shapes", "words"]
+                [pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 5, kinds)], ["doc", "at", "key", "good", "features"]
             )
 
-    got = rows.mapInArrow(run, "doc long, at int, good int, line binary, shapes array<string>, words array<binary>").collect()
-    return fit(labelled_runs([tuple(r) for r in got], shared))
-
-
-def labelled_runs(rows: list[tuple], shared: int) -> list[list[tuple[list[str], list[bytes], int]]]:
-    """Training sequences from (doc, at, good, line, shapes, words), in an order that does not depend on tasks."""
-    rows = sorted(rows, key=lambda r: (r[0], r[1], bytes(r[3])))
-    docs: dict[int, list] = {}
-    for doc, _, good, line, shapes, words in rows:
-        docs.setdefault(doc, []).append((bytes(line), good, list(shapes), [bytes(w) for w in words]))
-    # Copies of a text repeat a line next to the same lines, boilerplate stands next to others.
-    before, after = {}, {}
-    for doc in docs.values():
-        for one, two in zip(doc, doc[1:]):
-            after.setdefault(one[0], set()).add(two[0])
-            before.setdefault(two[0], set()).add(one[0])
-
-    def label(line: bytes, good: int) -> int:
-        apart = max(len(before.get(line, ())), len(after.get(line, ())))
-        return CONTENT if good == 1 and apart < shared else BOILERPLATE
-
-    return [[(shapes, words, label(line, good)) for line, good, shapes, words in doc] for doc in docs.values()]
+    got = rows.mapInArrow(run, "doc long, at int, key long, good int, features array<binary>").toArrow()
+    got = got.sort_by([(c, "ascending") for c in ("doc", "at", "key", "good")])
+    doc, key, good = (got.column(c).to_numpy() for c in ("doc", "key", "good"))
+    features = got.column("features").combine_chunks()
+    encoded = features.flatten().dictionary_encode()
+    names = encoded.dictionary.to_pylist()
+    order = sorted(range(len(names)), key=names.__getitem__)
+    rank = np.empty(len(names), np.int64)
+    rank[order] = np.arange(len(names))
+    line = np.repeat(np.arange(len(doc)), np.diff(features.offsets.to_numpy()))
+    of_run = np.cumsum(np.diff(doc, prepend=doc[:1]) != 0)
+    return fit(of_run, line_labels(of_run, key, good, shared), line, rank[encoded.indices.to_numpy()], [names[i] for i in order])
+
+
+def line_labels(run: np.ndarray, key: np.ndarray, good: np.ndarray, shared: int) -> np.ndarray:
+    """Labels of lines in order, from their run, a hash of the line and the label of the document.
+
+    Copies of a text repeat a line next to the same lines, boilerplate stands next to others: a
+    line is boilerplate if ``shared`` different lines precede or follow it.
+    """
+    number = np.unique(key, return_inverse=True)[1]
+    together = run[1:] == run[:-1]
+    pairs = np.unique(np.stack([number[:-1][together], number[1:][together]]), axis=1)
+    n = len(number)
+    apart = np.maximum(np.bincount(pairs[0], minlength=n), np.bincount(pairs[1], minlength=n))
+    return np.where((good == 1) & (apart[number] < shared), CONTENT, BOILERPLATE)
 
 
 def repeated_words(words: list[bytes], window: int = 5) -> int:
