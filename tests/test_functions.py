@@ -22,57 +22,45 @@ def many(spark, column_of, inputs, kind="string"):
     return [r["y"] for r in sorted(df.collect())]
 
 
-EMPTY = '{"tickers": [], "hype_score": 0.00}'
-CONTEXT = '{"contextual_hype": 0.85}'
+# Objects a model may return, and what may stand around them.
+OBJECTS = ['{"a": 1}', '{"a": {"b": [1, "}"]}}', '{"a": "```"}', "{}"]
+AROUND = [("", ""), ("```json\n", "\n```"), ("```", "```"), ("As asked: ", ""), ("", " - anything else?"), ("One\ntwo ", "\nthree")]
+# One rule each: quotes, names, commas, numbers, two values, halves, text without any.
+BROKEN = ["{'a':1}", "{a:1}", '{"a":1,}', '{"a":01}', '{"a":1} and {"b":2}', "[1] [2]", "}{", "1],[2", '{"a":1}],[{"b":2}',
+          '{"a":1}},{"v":{"b":2}', "words, words", '{"a": yes}', "", None]
+VALUES = ["[1,2]", "5", "null"]
 
 
-def test_clean_json(spark):
-    cases = [
-        (EMPTY, EMPTY),
-        (CONTEXT, CONTEXT),
-        (f"```json\n{EMPTY}\n```", EMPTY),
-        (f"```\n{CONTEXT}\n```", CONTEXT),
-        (f"Here is the result: {EMPTY}", EMPTY),
-        (f"Sure: {CONTEXT} Hope this helps!", CONTEXT),
-        ("no json at all", ""),
-        ('{"invalid": json}', ""),
-        ("", ""),
-        (None, ""),
-        ("{'a':1}", ""),
-        ('{"a":1} and {"b":2}', ""),
-        ('{"a":01}', ""),
-        ("{a:1}", ""),
-        ('{"a":1,}', ""),
-        ("[1] [2]", ""),
-        ("[1,2]", "[1,2]"),
-        ("5", "5"),
-        ("null", "null"),
-        ("}{", ""),
-        ("1],[2", ""),
-        ('{"a":1}],[{"b":2}', ""),
-        ('{"a":1}},{"v":{"b":2}', ""),
-        ('{"a":"}"} x', '{"a":"}"}'),
-    ]
-    assert many(spark, responses.clean_json, [c[0] for c in cases]) == [c[1] for c in cases]
+def test_clean_json_finds_the_object_in_any_wrapping(spark):
+    wrapped = [(before + held + after, held) for held in OBJECTS for before, after in AROUND if not (held == '{"a": "```"}' and "```" in before)]
+    assert many(spark, responses.clean_json, [w for w, _ in wrapped]) == [held for _, held in wrapped]
 
 
-def test_lexicon_hype(spark):
-    cases = [
-        ("diamond hands 💎🙌, and this is the way!", 1.0),
-        ("LFG, all in!!! 🚀🚀🚀", 0.8),
-        ("off to the moon 🌙🚀, yolo!", 1.0),
-        ("diamond hands hold the line 💎🙌!!", 1.0),
-        ("the sea looks calm", 0.0),
-        ("who wrote this", 0.0),
-        ("", 0.0),
-        ("no", 0.0),
-        ("well!", 0.1),
-        ("so this is the way! 🚀", 0.4),
-        ("ABC", 0.0),
-        ("1234", 0.0),
-    ]
-    got = many(spark, hype.lexicon_hype, [c[0] for c in cases])
-    assert [round(x, 6) for x in got] == [c[1] for c in cases]
+def test_clean_json_of_what_is_no_object(spark):
+    assert many(spark, responses.clean_json, BROKEN) == [""] * len(BROKEN)
+    assert many(spark, responses.clean_json, VALUES) == VALUES
+
+
+# The rule of the lexicon: a text scores the sum of the weights of the terms it holds, once each.
+WEIGHTS = {"🚀": 0.3, "moon": 0.3, "diamond hands": 0.3, "lfg": 0.3, "yolo": 0.3, "💎": 0.3, "🙌": 0.3, "let's go": 0.2, "i'm in": 0.2,
+           "buying": 0.2, "hold": 0.2, "bullish": 0.2, "risky": -0.2, "careful": -0.2, "not sure": -0.2, "bear": -0.2, "sell": -0.2}
+
+
+def expected_hype(text):
+    total = sum(w for term, w in WEIGHTS.items() if term in text.lower())
+    total += 0.2 if "!!!" in text else 0.1 if "!" in text else 0
+    total += 0.2 if len(text) > 3 and text.upper() == text != text.lower() else 0
+    return round(min(1.0, max(0.0, total)), 6)
+
+
+def test_lexicon_hype_of_each_term_pair_and_mark(spark):
+    terms = list(WEIGHTS)
+    cases = [f"{frame[0]}{t}{frame[1]}" for t in terms for frame in (("x ", " y"), ("", ""), ("", "!"), ("q ", "!!!"), ("", t))]
+    cases += [f"x {a} {b} y" for i, a in enumerate(terms) for b in terms[i + 1 :]]
+    cases += [" ".join(terms[:n]) for n in range(len(terms) + 1)] + ["QQQ", "QQQQ", "QQQ1", "1234", "Qqqq", "a!b", "!", "!!!!"]
+    cases += [t.upper() for t in terms]
+    got = many(spark, hype.lexicon_hype, cases)
+    assert [round(x, 6) for x in got] == [expected_hype(c) for c in cases]
 
 
 def test_contextual_hype_guard(spark):

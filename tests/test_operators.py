@@ -62,33 +62,41 @@ def mention_rows(spark, rows):
     )
 
 
-def test_scenario(spark, symbols):
-    posts = posts_of(spark, [("p", "TSLA reports on Friday 🚀 I hold $420 calls", 1704067200)])
-    bodies = ["diamond hands, this is the way 💎🙌!", "mine are in AAPL these days",
-              "too warm for me, I pass", "LFG, all in!!! 🚀🚀🚀", "a fine write-up"]
-    comments = comments_of(spark, [(f"c{i}", "p", "post", "p", b) for i, b in enumerate(bodies)])
+def test_two_threads_from_extraction_to_coverage(spark, symbols):
+    """A thread about GME with one comment of each way, beside a thread without a ticker."""
+    posts = posts_of(spark, [("g", "What now for GME?", 1704067200), ("n", "Weekend thread", 1704070800)])
+    said = {
+        "c1": ("g", "🚀 🚀 buying"),  # 0.5: takes the post's ticker
+        "c2": ("g", "moon"),  # 0.3: takes it as well
+        "c3": ("g", "moon but risky"),  # 0.1: not keen enough
+        "c4": ("g", "rather AAPL than $TSLA, moon"),  # has its own
+        "c5": ("g", "🚀"),  # too short to be judged
+        "c6": ("g", "[deleted]"),
+        "c7": ("n", "yolo 💎"),  # keen, but the post has nothing to give
+    }
+    comments = comments_of(spark, [(i, post, "post", post, body) for i, (post, body) in said.items()])
     result = analysis.analyze_with_context(filters.content_union(posts, comments), symbols)
     got = values(result.mentions, "content_reddit_id", "ticker", "method", F.round("confidence", 6))
     assert got == [
-        ("c0", "TSLA", "contextual_inheritance", 0.75),
-        ("c1", "AAPL", "rule", 0.95),
-        ("c3", "TSLA", "contextual_inheritance", 0.75),
-        ("p", "TSLA", "rule", 0.95),
+        ("c1", "GME", "contextual_inheritance", 0.7),
+        ("c2", "GME", "contextual_inheritance", 0.5),
+        ("c4", "AAPL", "rule", 0.95),
+        ("c4", "TSLA", "rule", 0.95),
+        ("g", "GME", "rule", 0.8),
     ]
     report = inheritance.coverage(comments, result.mentions).first().asDict()
-    assert report == {"comments": 5, "direct": 1, "contextual": 2, "uncovered": 2, "coverage_pct": 60.0}
+    assert report == {"comments": 7, "direct": 1, "contextual": 2, "uncovered": 4, "coverage_pct": pytest.approx(300 / 7)}
     summary = aggregates.run_summary(result.items, result.mentions).first().asDict()
-    assert summary == {"analyzed_items": 6, "mentions": 4, "inherited": 2, "direct": 2}
+    assert summary == {"analyzed_items": 8, "mentions": 5, "inherited": 2, "direct": 3}
 
 
-def test_inheritance_of_two_tickers(spark):
-    post_tickers = mention_rows(spark, [("post", "p", "TSLA", 0.9), ("post", "p", "AAPL", 0.85)])
-    texts = {"so this is the way 🚀!": 0.6, "hold it with diamond hands!": 0.75, "LFG, going all in!!!": 0.7,
-             "who can tell": None, "sounds odd": None, "back from lunch": None}
-    comments = comments_of(spark, [(t, "p", "post", "p", t) for t in texts])
-    got = values(inheritance.contextual_inheritance(comments, post_tickers),
-                 "content_reddit_id", "ticker", F.round("confidence", 6))
-    want = [(t, s, c) for t, c in texts.items() if c for s in ("AAPL", "TSLA")]
+def test_a_keen_comment_takes_every_ticker_of_its_post(spark):
+    tagged = mention_rows(spark, [("post", "p", t, 0.9) for t in ("BTC", "GE", "TSLA")] + [("post", "q", "GME", 0.5), ("comment", "p", "ZZ", 0.9)])
+    moods = {"lfg 🙌 moon": 0.75, "bullish, i'm in": 0.6, "hold on": None, "quiet day": None}
+    rows = [(f"{post} {text}", post, "post", post, text) for post in ("p", "q", "none") for text in moods]
+    got = values(inheritance.contextual_inheritance(comments_of(spark, rows), tagged), "content_reddit_id", "ticker", F.round("confidence", 6))
+    given = {"p": ("BTC", "GE", "TSLA"), "q": ("GME",), "none": ()}
+    want = [(i, ticker, moods[text]) for i, post, _, _, text in rows if moods[text] for ticker in given[post]]
     assert got == sorted(want, key=repr)
 
 

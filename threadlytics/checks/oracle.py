@@ -169,6 +169,9 @@ PARTS = {
       select unnest(cast(case when json_type(value) = 'OBJECT' then json_extract(value, '$.symbols')
         else json(value) end as json[])) as e from symbol_files) t where json_type(e) = 'VARCHAR'""",
     "post_updates": adapter(adapters.POST_UPDATES_SQL),
+    "comment_updates": adapter(adapters.COMMENT_UPDATES_SQL),
+    "comment_landings": adapter(adapters.COMMENT_LANDINGS_SQL),
+    "branching": adapter(adapters.BRANCHING_SQL),
     "landings": adapter(adapters.POST_LANDINGS_SQL),
     "totals_source": f"""select upper(ticker) as ticker, kind, hype_score, created_utc,
       coalesce(company_name, '') as company_name from event_mentions where {trim('ticker')} <> ''""",
@@ -196,8 +199,9 @@ NEEDS = {
 ORACLE: dict[str, str] = {}
 
 
-def define(name: str, needs: str, body: str) -> None:
-    """Register ``body`` behind the common table expressions it needs, in order."""
+def define(name: str, needs: str, body: str, **swap: str) -> None:
+    """Register ``body`` behind the common table expressions it needs, in order; ``swap`` gives some another text."""
+    parts = {**PARTS, **swap}
     ordered: list[str] = []
 
     def add(part: str) -> None:
@@ -208,7 +212,7 @@ def define(name: str, needs: str, body: str) -> None:
 
     for part in needs.split():
         add(part)
-    tables = ",\n".join(f"{part} as ({PARTS[part].strip()})" for part in ordered)
+    tables = ",\n".join(f"{part} as ({parts[part].strip()})" for part in ordered)
     ORACLE[name] = f"with recursive {tables}\n{body}" if ordered else body
 
 
@@ -221,10 +225,11 @@ def totals(source: str) -> str:
       max(created_utc) as last_mentioned_at from {source} group by ticker"""
 
 
-define("read_submissions", "raw_posts", """select id, md5(selftext) as text_md5, author, score, upvote_ratio,
-  created_utc, link_flair_text, true as well_formed from raw_posts""")
-define("read_comments", "raw_comments", """select id, post_id, parent_id, md5(body) as body_md5, created_utc,
-  score, true as well_formed from raw_comments""")
+define("read_submissions", "raw_posts", """select id, title, md5(selftext) as text_md5, url, author, score,
+  num_comments, total_awards_received, upvote_ratio, created_utc, permalink, subreddit, link_flair_text, true as well_formed from raw_posts""")
+define("read_comments", "raw_comments", """select id, post_id, parent_id, author, md5(body) as body_md5, created_utc,
+  score, total_awards_received, array_to_string(all_awardings, ',') as all_awardings,
+  array_to_string(awardings, ',') as awardings, true as well_formed from raw_comments""")
 define("top_posts_of_day", "posts", f"""select reddit_id, title, score, {iso('created_utc')} as created_utc
   from posts where created_utc > timestamp '2024-01-01' and created_utc <= timestamp '2024-01-02'
   order by score desc, reddit_id limit 3""")
@@ -245,6 +250,66 @@ define("upsert_posts", "posts post_updates", f"""
     md5(p.text) as text_md5, coalesce(u.score, p.score) as score, p.subreddit,
     {iso('p.created_utc')} as created_utc, {iso('p.processed_at')} as processed_at
   from posts p full join latest u on p.reddit_id = u.reddit_id""")
+ORACLE["upsert_stored"] = ORACLE["upsert_posts"]
+define("upsert_comments", "comments comment_updates", f"""
+  , latest as (select * from comment_updates
+    qualify row_number() over (partition by reddit_id order by landed_at desc) = 1)
+  select coalesce(c.reddit_id, u.reddit_id) as reddit_id, c.post_reddit_id, c.parent_reddit_id, c.author,
+    md5(coalesce(u.body, c.body)) as body_md5, coalesce(u.score, c.score) as score, c.total_awards,
+    case when u.reddit_id is null then c.awards else array_to_string(coalesce(u.award_names, []), ',') end as awards,
+    {iso('c.created_utc')} as created_utc
+  from comments c full join latest u on c.reddit_id = u.reddit_id""")
+define("merge_stored_tickers", "totals_source", f"""
+  , one as (select * from ({totals("(select * from totals_source where created_utc < timestamp '2024-01-20')")}) t),
+  two as (select * from ({totals("(select * from totals_source where created_utc >= timestamp '2024-01-20')")}) t),
+  sums as (select ticker, round(sum(hype_score), 9) as s from totals_source
+    where created_utc >= timestamp '2024-01-20' group by ticker)
+  select coalesce(a.ticker, b.ticker) as ticker,
+    coalesce(nullif(b.company_name, ''), a.company_name, '') as company_name,
+    cast(coalesce(a.total_mentions, 0) + coalesce(b.total_mentions, 0) as integer) as total_mentions,
+    cast(coalesce(a.total_posts, 0) + coalesce(b.total_posts, 0) as integer) as total_posts,
+    cast(coalesce(a.total_comments, 0) + coalesce(b.total_comments, 0) as integer) as total_comments,
+    case when b.ticker is null then a.avg_hype_score else
+      round((coalesce(a.avg_hype_score, 0) * coalesce(a.total_mentions, 0) + coalesce(s.s, 0))
+        / (coalesce(a.total_mentions, 0) + b.total_mentions), 2) end as avg_hype_score,
+    greatest(a.max_hype_score, b.max_hype_score) as max_hype_score,
+    {iso('greatest(a.last_mentioned_at, b.last_mentioned_at)')} as last_mentioned_at,
+    case when a.ticker is null then '2024-02-01T00:00:00Z' else '2024-01-05T00:00:00Z' end as created_at,
+    case when b.ticker is null then '2024-01-05T00:00:00Z' else '2024-02-01T00:00:00Z' end as updated_at
+  from one a full join two b on a.ticker = b.ticker left join sums s on s.ticker = b.ticker""")
+define("landed_rejects", "raw_posts", """, numbered as (select *, cast(substr(id, 2) as bigint) as n from raw_posts)
+  select n % 10 in (3, 7) as has_file,
+    case n % 10 when 3 then 'does not parse' when 7 then 'no id' else 'usable' end as reason,
+    case when n % 10 = 3 then left('{"id":"' || id || '","title":"  Thread', 20)
+      when n % 20 = 7 then left('{"id":"","title":"  Thread', 20)
+      when n % 10 = 7 then left('{"title":"  Thread ' || n, 20) else id end as begins from numbered""")
+define("flatten_nested", "", """select 'c' || conv_id || 'x' || turn as id, 'p' || conv_id as post_id,
+  case when turn = 1 then 't3_p' || conv_id else 't1_c' || conv_id || 'x' || (turn // 2) end as parent_id,
+  role as author, md5(text) as body_md5, cast(1704067200 + conv_id * 7200 + turn as bigint) as created_utc,
+  cast(turn as integer) as score, cast(turn % 2 as integer) as total_awards_received,
+  case when turn % 2 = 1 then 'gold,silver' end as all_awardings,
+  case when turn % 3 = 0 then 'wholesome' end as awardings,
+  cast(length(bin(turn)) - 1 as integer) as depth from conversations where turn > 0""")
+define("branching_depth", "branching", """select reddit_id, parent_reddit_id,
+  cast(length(bin(cast(split_part(reddit_id, 'x', 2) as bigint))) - 1 as integer) as depth from branching""")
+define("branching_inheritance", "branching direct", """
+  , replies as (select distinct * from branching),
+  tags as (select kind, content_reddit_id as id, ticker, max(confidence) as confidence from direct
+    where kind = 'post' or content_reddit_id like '%x2' group by all),
+  untagged as (select * from replies where reddit_id not in (select id from tags where kind = 'comment')),
+  taken as (
+    select u.reddit_id, u.parent_reddit_id, t.ticker,
+      least(cast(0.5 as double), t.confidence * cast(0.8 as double)) as confidence, 1 as distance
+    from untagged u join tags t on t.kind = u.parent_kind and t.id = u.parent_reddit_id
+    union all
+    select u.reddit_id, u.parent_reddit_id, t.ticker,
+      least(cast(0.5 as double), t.confidence * cast(0.8 as double)), t.distance + 1
+    from untagged u join taken t on u.parent_kind = 'comment' and u.parent_reddit_id = t.reddit_id)
+  select reddit_id as content_reddit_id, ticker, round(confidence, 6) as confidence,
+    parent_reddit_id as inherited_from, cast(distance as integer) as distance from taken""")
+define("symbol_rows", "listed", r"""select '{"symbols":["' || symbol || '"],"updated_at":1.7040672E9}' as value
+  from (select distinct symbol from listed where regexp_full_match(symbol, '[\p{L}.]{1,6}')) t""")
+define("ticker_list", "event_mentions", "select ticker, count(*) as mentions from event_mentions group by ticker")
 define("upsert_mentions", "event_mentions", f"""
   , stored as (select * from event_mentions where method = 'llm' qualify {BEST}),
   latest as (select * from event_mentions where method = 'contextual_inheritance'
@@ -438,6 +503,12 @@ define("parent_id", "raw_comments", """select post_id, created_utc,
 define("stream_upsert_posts", "landings", f"""select id as reddit_id, {trim('title')} as title,
   md5({trim('selftext')}) as text_md5, author, score from landings
   qualify row_number() over (partition by id order by landed_at desc) = 1""")
+define("stream_upsert_comments", "comment_landings", f"""select id as reddit_id, post_id as post_reddit_id, author,
+  md5({trim('body')}) as body_md5, score, array_to_string(coalesce(all_awardings, awardings, []), ',') as awards
+  from comment_landings qualify row_number() over (partition by id order by landed_at desc) = 1""")
+define("stream_edits", "direct", """select kind, content_reddit_id, ticker, span_start, span_end,
+  round(confidence, 6) as confidence, round(hype_score, 6) as hype_score from direct""",
+  content=f"select * replace ({adapters.EDITS[3]} as text) from ({PARTS['content']}) t")
 define("stream_mentions", "direct", """select kind, content_reddit_id, ticker, span_start, span_end,
   round(confidence, 6) as confidence, round(hype_score, 6) as hype_score from direct""")
 define("stream_contextual", "inherited", """select content_reddit_id, ticker, round(confidence, 6) as confidence,
@@ -465,3 +536,5 @@ define("run_summary", "items mentions", """select (select count(*) from items wh
   count(*) as mentions, count(*) filter (method = 'contextual_inheritance') as inherited,
   count(*) filter (method <> 'contextual_inheritance') as direct
   from mentions where processed_at is null""")
+ORACLE["score_with_ledger"] = ORACLE["score_with_stub"]
+ORACLE["upsert_daily_stats"] = f"select * from ({ORACLE['ticker_daily_stats']}) t where date is not null"

@@ -22,10 +22,19 @@ from threadlytics.operators import (
     maintenance,
     mentions as direct,
     scoring,
+    stored,
     threads,
 )
 from threadlytics.plans import analysis, backfill
-from threadlytics.schemas import BASIC_MENTION_COLUMNS, MENTION_COLUMNS, RAW_COMMENTS, RAW_POSTS
+from threadlytics.schemas import (
+    BASIC_MENTION_COLUMNS,
+    KEYS,
+    MENTION_COLUMNS,
+    RAW_COMMENTS,
+    RAW_POSTS,
+    TICKER_DAILY_STATS,
+    TICKERS,
+)
 from threadlytics.session import SETTINGS, cut_lineage, shared_dir
 from threadlytics.sources import adapters, landing, symbols as symbol_files
 from threadlytics.streaming import jobs
@@ -85,24 +94,29 @@ def _landed(raw: DataFrame, schema, path: str) -> None:
     raw.select(*names).write.mode("overwrite").json(path)
 
 
+def award_names(column: str):
+    return F.array_join(F.transform(column, lambda award: award["name"]), ",").alias(column)
+
+
 @query
 def read_submissions(spark, sf_dir):
     """Posts landed as JSON lines, read back with a fixed schema."""
     path = folder(spark)
     _landed(adapters.raw_posts(spark, sf_dir), RAW_POSTS, path)
     return landing.read_submissions(spark, path).select(
-        "id", F.md5("selftext").alias("text_md5"), "author", "score", "upvote_ratio",
-        "created_utc", "link_flair_text", F.col(landing.CORRUPT).isNull().alias("well_formed"),
+        "id", "title", F.md5("selftext").alias("text_md5"), "url", "author", "score", "num_comments",
+        "total_awards_received", "upvote_ratio", "created_utc", "permalink", "subreddit",
+        "link_flair_text", F.col(landing.CORRUPT).isNull().alias("well_formed"),
     )
 
 
 @query
 def read_comments(spark, sf_dir):
     path = folder(spark)
-    raw = adapters.raw_comments(spark, sf_dir).drop("all_awardings", "awardings")
-    _landed(raw, RAW_COMMENTS, path)
+    _landed(adapters.landed_comments(spark, sf_dir), RAW_COMMENTS, path)
     return landing.read_comments(spark, path).select(
-        "id", "post_id", "parent_id", F.md5("body").alias("body_md5"), "created_utc", "score",
+        "id", "post_id", "parent_id", "author", F.md5("body").alias("body_md5"), "created_utc", "score",
+        "total_awards_received", award_names("all_awardings"), award_names("awardings"),
         F.col(landing.CORRUPT).isNull().alias("well_formed"),
     )
 
@@ -180,6 +194,134 @@ def upsert_mentions(spark, sf_dir):
     )
 
 
+def stored_table(spark, kind, schema, shards=8, buckets=4) -> stored.Stored:
+    """A stored table at a fresh place."""
+    run = uuid.uuid4().hex
+    table = stored.Stored(
+        f"{kind}_{run}", f"{shared_dir(spark)}/{kind}-{run}", schema, tuple(KEYS[kind]), shards, buckets
+    )
+    stored.create_stored(spark, table)
+    return table
+
+
+@query
+def upsert_stored(spark, sf_dir):
+    """The posts as a stored table, updated where it is."""
+    posts = adapters.posts(spark, sf_dir)
+    table = stored_table(spark, "posts", posts.schema)
+    stored.fill(posts, table)
+    stored.upsert_stored(adapters.post_updates(spark, sf_dir), table, ["landed_at"])
+    return aggregates.iso_time(stored.rows_of(spark, table), "created_utc", "processed_at").select(
+        "reddit_id", "title", F.md5("text").alias("text_md5"), "score", "subreddit",
+        "created_utc", "processed_at",
+    )
+
+
+@query
+def upsert_comments(spark, sf_dir):
+    """Comments landed with their awards, stored, and updated by later versions of some."""
+    path = folder(spark)
+    _landed(adapters.landed_comments(spark, sf_dir), RAW_COMMENTS, path)
+    raw = landing.split_landed(spark, path, RAW_COMMENTS).rows
+    comments = landing.normalize_comments(landing.valid_comments(raw))
+    table = stored_table(spark, "comments", comments.schema)
+    stored.fill(comments, table)
+    stored.upsert_stored(adapters.comment_updates(spark, sf_dir), table, ["landed_at"])
+    return aggregates.iso_time(stored.rows_of(spark, table), "created_utc").select(
+        "reddit_id", "post_reddit_id", "parent_reddit_id", "author", F.md5("body").alias("body_md5"), "score",
+        "total_awards", award_names("awards"), "created_utc",
+    )
+
+
+@query
+def merge_stored_tickers(spark, sf_dir):
+    """The stored totals of the mentions up to a day, merged with those of the mentions after it."""
+    rows = adapters.mentions(spark, sf_dir)
+    table = stored_table(spark, "tickers", TICKERS)
+    for batch, as_of in (
+        (rows.filter(F.col("created_utc") < F.lit("2024-01-20").cast("timestamp")), AS_OF),
+        (rows.filter(F.col("created_utc") >= F.lit("2024-01-20").cast("timestamp")), "2024-02-01 00:00:00"),
+    ):
+        changed = aggregates.merge_tickers(stored.rows_of(spark, table), batch, as_of)
+        stored.upsert_stored(changed, table, ["updated_at"])
+    return aggregates.iso_time(
+        stored.rows_of(spark, table), "last_mentioned_at", "created_at", "updated_at"
+    ).withColumns({c: F.col(c).cast("double") for c in ("avg_hype_score", "max_hype_score")})
+
+
+@query
+def upsert_daily_stats(spark, sf_dir):
+    """Stored daily statistics of the first days, replaced and added to by those of all days."""
+    found = cut_lineage(in_context(spark, sf_dir))
+    items = content(spark, sf_dir)
+    table = stored_table(spark, "ticker_daily_stats", TICKER_DAILY_STATS)
+    first = found.where(F.col("created_utc") < F.lit("2024-01-04 12:00:00").cast("timestamp"))
+    for batch in (first, found):
+        stats = aggregates.stored_daily(aggregates.daily_stats(batch, items), AS_OF)
+        stored.upsert_stored(stats, table, ["created_at"])
+    return stored.rows_of(spark, table).select(
+        "ticker", F.col("date").cast("string").alias("date"), "mentions_count", "posts_count", "comments_count",
+        F.col("avg_hype_score").cast("double").alias("avg_hype_score"),
+        F.col("max_hype_score").cast("double").alias("max_hype_score"), "total_engagement",
+    )
+
+
+@query
+def landed_rejects(spark, sf_dir):
+    """Landed lines that are no usable post, and why."""
+    path = folder(spark)
+    adapters.post_lines(spark, sf_dir).write.text(path)
+    landed = landing.split_landed(spark, path, RAW_POSTS)
+    return landed.rejects.select(
+        F.col("file").isNotNull().alias("has_file"), "reason", F.left("record", F.lit(20)).alias("begins")
+    ).unionByName(
+        landing.normalize_posts(landed.rows).select(
+            F.lit(False).alias("has_file"), F.lit("usable").alias("reason"), F.col("reddit_id").alias("begins")
+        )
+    )
+
+
+@query
+def flatten_nested(spark, sf_dir):
+    """Comments of nested trees, with their awards."""
+    rows = landing.flatten_nested(adapters.nested_posts(spark, sf_dir))
+    return rows.select(
+        "id", "post_id", "parent_id", "author", F.md5("body").alias("body_md5"), "created_utc", "score",
+        "total_awards_received", award_names("all_awardings"), award_names("awardings"), "depth",
+    )
+
+
+@query
+def branching_depth(spark, sf_dir):
+    """Depths in branching trees whose comments landed more than once."""
+    return threads.comment_depth(adapters.branching_comments(spark, sf_dir)).select(
+        "reddit_id", "parent_reddit_id", "depth"
+    )
+
+
+@query
+def branching_inheritance(spark, sf_dir):
+    """Tickers that comments of branching trees take from their nearest tagged ancestor."""
+    return inheritance.parent_inheritance(
+        adapters.branching_comments(spark, sf_dir),
+        found(spark, sf_dir).where("kind = 'post' or content_reddit_id like '%x2'"),
+    ).select(
+        "content_reddit_id", "ticker", six("confidence"), "inherited_from", F.col("distance").cast("int").alias("distance")
+    )
+
+
+@query
+def symbol_rows(spark, sf_dir):
+    """The symbol list as one document per symbol."""
+    listed = symbol_files.symbols_of(adapters.symbol_files(spark, sf_dir))
+    return symbol_files.symbol_rows(direct.symbol_dim(listed), 1704067200.0)
+
+
+@query
+def ticker_list(spark, sf_dir):
+    return aggregates.ticker_list(adapters.mentions(spark, sf_dir))
+
+
 @query
 def clear_counts(spark, sf_dir):
     return maintenance.clear_counts(
@@ -504,7 +646,7 @@ def backfill_scope(spark, sf_dir):
 def _on_record(spark, sf_dir):
     """Mentions of the contents that were processed before."""
     before = filters.analyzable(filters.processed(content(spark, sf_dir)))
-    return direct.direct_mentions(before, adapters.symbols(spark))
+    return cut_lineage(direct.direct_mentions(before, adapters.symbols(spark)))
 
 
 def _backfill(spark, sf_dir, start="2024-01-01", end="2024-01-12"):
@@ -685,6 +827,41 @@ def stream_upsert_posts(spark, sf_dir):
     )
 
 
+@query
+def stream_upsert_comments(spark, sf_dir):
+    run = folder(spark)
+    landed = landing.normalize_comments(
+        adapters.comment_landings(spark, sf_dir, adapters.stream), keep=("landed_at",)
+    )
+    jobs.ingest(landed, "comments", f"{run}/log", f"{run}/checkpoint").awaitTermination()
+    jobs.compact(spark, f"{run}/log", jobs.FOLDS["comments"])
+    return jobs.current(spark, "comments", f"{run}/log").select(
+        "reddit_id", "post_reddit_id", "author", F.md5("body").alias("body_md5"), "score", award_names("awards")
+    )
+
+
+@query
+def stream_edits(spark, sf_dir):
+    """Contents that land three times, edited in between, by a job that is stopped and started again."""
+    run = folder(spark)
+    first = content(spark, sf_dir)
+    for landing_no in (1, 2, 3):
+        text = F.expr(adapters.EDITS[landing_no]) if landing_no > 1 else F.col("text")
+        first.withColumn("text", text).withColumn("landed_at", F.lit(landing_no)).write.parquet(
+            f"{run}/landed/no={landing_no}"
+        )
+        if landing_no > 1:
+            stream = spark.readStream.schema(
+                first.withColumn("landed_at", F.lit(1)).schema
+            ).option("maxFilesPerTrigger", 1).parquet(f"{run}/landed/*")
+            jobs.edited_mentions(
+                stream, adapters.symbols(spark), f"{run}/log", f"{run}/checkpoint"
+            ).awaitTermination()
+    return jobs.current_edited_mentions(spark, f"{run}/log").select(
+        "kind", "content_reddit_id", "ticker", "span_start", "span_end", six("confidence"), six("hype_score")
+    )
+
+
 @query
 def stream_mentions(spark, sf_dir):
     run = folder(spark)
@@ -782,6 +959,25 @@ def score_with_stub(spark, sf_dir):
     )
 
 
+@query
+def score_with_ledger(spark, sf_dir):
+    """The same through a ledger: each distinct text is asked, none by the second run."""
+    items = filters.analyzable(content(spark, sf_dir))
+    ledger = f"{folder(spark)}/ledger"
+    scoring.score_once(items, "text", stub_extractor(), ledger)
+
+    def nobody():
+        def refuse(texts):
+            raise AssertionError("a text was asked again")
+
+        return refuse
+
+    return scoring.mentions_with(items, nobody, ledger).select(
+        "kind", "content_reddit_id", "pos", "ticker", "span_start", "span_end",
+        six("confidence"), six("hype_score"),
+    )
+
+
 @query
 def score_errors(spark, sf_dir):
     """Texts the scorer failed on, and why."""

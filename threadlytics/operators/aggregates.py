@@ -125,6 +125,58 @@ def merge_totals(existing: DataFrame, new: DataFrame) -> DataFrame:
     return fold_totals(existing.unionByName(new))
 
 
+def hype_decimal(score: Column) -> Column:
+    """A hype score as stored, DECIMAL(4,2); null where it does not fit."""
+    return F.round(score, 2).try_cast("decimal(4,2)")
+
+
+def merge_tickers(stored: DataFrame, mentions: DataFrame, as_of: str) -> DataFrame:
+    """The rows of a stored ``tickers`` table that a batch of mentions changes or adds.
+
+    Counts are added up, the mean is weighed by them and rounded as it is stored, so a merge
+    knows the mean before it to two places only; :func:`merge_totals` keeps unrounded parts.  A
+    blank name leaves the stored one, and only ``updated_at`` tells of the merge itself.
+    Merging the same batch twice counts it twice.
+    """
+    now = F.lit(as_of).cast("timestamp")
+    new = partial_totals(mentions).select(
+        "ticker",
+        F.nullif("company_name", F.lit("")).alias("new_name"),
+        *[F.col(f"total_{of}").alias(f"new_{of}") for of in ("mentions", "posts", "comments")],
+        F.coalesce(exact(F.col("hype_sum")), F.lit(0.0)).alias("new_sum"),
+        F.col("hype_max").alias("new_max"),
+        F.col("last_mentioned_at").alias("new_last"),
+    )
+    both = new.join(stored, "ticker", "left")
+    count = {
+        of: F.coalesce(f"total_{of}", F.lit(0)) + F.col(f"new_{of}") for of in ("mentions", "posts", "comments")
+    }
+    before = F.coalesce(F.col("avg_hype_score").cast("double"), F.lit(0.0)) * F.coalesce("total_mentions", F.lit(0))
+    return both.select(
+        "ticker",
+        F.coalesce("new_name", "company_name", F.lit("")).alias("company_name"),
+        *[count[of].cast("int").alias(f"total_{of}") for of in count],
+        hype_decimal((before + F.col("new_sum")) / count["mentions"]).alias("avg_hype_score"),
+        hype_decimal(F.greatest(F.col("max_hype_score").cast("double"), "new_max")).alias("max_hype_score"),
+        F.greatest("last_mentioned_at", "new_last").alias("last_mentioned_at"),
+        F.coalesce("created_at", now).alias("created_at"),
+        now.alias("updated_at"),
+    )
+
+
+def stored_daily(stats: DataFrame, as_of: str) -> DataFrame:
+    """Daily statistics in the layout of the stored table; mentions without a time have no day there."""
+    return stats.where(F.col("date").isNotNull()).select(
+        "ticker",
+        "date",
+        *[F.col(c).cast("int").alias(c) for c in ("mentions_count", "posts_count", "comments_count")],
+        hype_decimal(F.col("avg_hype_score")).alias("avg_hype_score"),
+        hype_decimal(F.col("max_hype_score")).alias("max_hype_score"),
+        F.col("total_engagement").cast("int").alias("total_engagement"),
+        F.lit(as_of).cast("timestamp").alias("created_at"),
+    )
+
+
 def running_hype(mentions: DataFrame, mention_id: str) -> DataFrame:
     """Count, mean and maximum of hype of a ticker up to and with each mention.
 
@@ -238,6 +290,12 @@ def overall_summary(mentions: DataFrame) -> DataFrame:
     )
 
 
+def ticker_list(mentions: DataFrame) -> DataFrame:
+    """All tickers with their mentions, one a row, sorted over all tasks: the list of
+    :func:`overall_summary` for vocabularies of any length."""
+    return mentions.groupBy("ticker").agg(F.count("*").alias("mentions")).orderBy("ticker")
+
+
 def run_summary(content: DataFrame, mentions: DataFrame) -> DataFrame:
     """Analysed items, their mentions, and how many were inherited or direct."""
     zero = F.lit(0).cast("bigint")

@@ -10,9 +10,6 @@ from pyspark.sql import types as T
 
 from threadlytics.schemas import ADDED_COLUMNS, EXPECTED_OBJECTS, TABLES
 
-# Most rows per written file, as upserts were sent in such batches.
-WRITE_BATCH = 1000
-
 
 def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Last row of each key by ``order``; copies are folded before the shuffle."""
@@ -21,21 +18,13 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFr
     return rows.groupBy(*keys).agg(last.alias("last")).select(*keys, "last.*").select(*rows.columns)
 
 
-def upsert(
-    target: DataFrame, updates: DataFrame, keys: list[str], order: list[str] | None = None
-) -> DataFrame:
-    """``target`` after ``updates``: supplied columns replace, others keep their value.
-
-    ``order`` tells which update of a key comes last when there are several.  Updates may
-    carry a part of the columns only; null is a supplied value like any other.
-    """
-    order = order or [name for name in updates.columns if name not in keys]
-    incoming = latest_per_key(updates, keys, order)
-    supplied = [c for c in updates.columns if c in target.columns and c not in keys]
-    changes = incoming.select(
+def merge(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """``target`` after ``changes``, one row per key: supplied columns replace, others stay."""
+    supplied = [c for c in changes.columns if c in target.columns and c not in keys]
+    new = changes.select(
         *keys, *[F.col(c).alias(f"new_{c}") for c in supplied], F.lit(True).alias("is_new")
     )
-    merged = target.join(changes, keys, "full_outer")
+    merged = target.join(new, keys, "full_outer")
     columns = []
     for field in target.schema:
         name = field.name
@@ -47,13 +36,32 @@ def upsert(
     return merged.select(*columns)
 
 
-def write_table(df: DataFrame, path: str, rows_per_file: int | None = None, **partitions) -> None:
-    """Write a parquet table; ``rows_per_file`` bounds each file (:data:`WRITE_BATCH`)."""
-    writer = df.write.mode("overwrite")
-    if rows_per_file:
-        writer = writer.option("maxRecordsPerFile", rows_per_file)
-    if partitions.get("by"):
-        writer = writer.partitionBy(*partitions["by"])
+def upsert(target: DataFrame, updates: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``target`` after ``updates``: supplied columns replace, others keep their value.
+
+    ``order`` tells which update of a key comes last when there are several.  Updates may
+    carry a part of the columns only; null is a supplied value like any other.
+    ``stored.upsert_stored`` does the same to a table in place.
+    """
+    if not order:
+        raise ValueError("an upsert needs a column that tells the last update of a key")
+    return merge(target, latest_per_key(updates, keys, order), keys)
+
+
+def sized(df: DataFrame, *by: str) -> DataFrame:
+    """``df`` ready to be written in files of a session's advisory size, by ``by`` if it is given.
+
+    Partitions are split and joined by their measured bytes, so neither a large nor a skewed
+    input makes one huge file, and a small one makes no crumbs.
+    """
+    return df.hint("rebalance", *by)
+
+
+def write_table(df: DataFrame, path: str, by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
+    """Write a parquet table in files of the session's advisory size, partitioned ``by`` columns."""
+    writer = sized(df, *by).write.mode(mode)
+    if by:
+        writer = writer.partitionBy(*by)
     writer.parquet(path)
 
 

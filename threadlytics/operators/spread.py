@@ -1,12 +1,20 @@
-"""Joins that split hot keys.  Which side is broadcast is left to AQE, which measures it."""
+"""Joins that split hot keys.
+
+The list of hot keys is worked out once, by a job over the key column alone.  Without any the
+join is a plain one; otherwise the list is broadcast, if its count says that it is small.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadlytics.session import cut_observed
+
 # Rows of one join key that a single task should see.
 ROWS_PER_SLOT = 1_000_000
+# Most hot keys that are broadcast: with ids of some 20 bytes about 20 MB.
+BROADCAST_KEYS = 200_000
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_slot: int = ROWS_PER_SLOT) -> DataFrame:
@@ -34,11 +42,13 @@ def join_spread(
     Rows of a hot key are dealt to ``slots`` groups by a hash of ``spread_by``; the other
     side repeats its few rows of that key once per group.  Every row meets each partner
     exactly once, so ``inner``, ``left``, ``left_semi`` and ``left_anti`` keep their results.
-    ``hot`` comes from :func:`hot_keys`; it has no hint, so AQE broadcasts it if it is small.
+    ``hot`` comes from :func:`hot_keys`, by default over ``large``.  Its count is taken as it is
+    written: nothing is dealt when there are no hot keys, and a long list is not broadcast.
     """
-    if hot is None:
-        hot = hot_keys(large, key)
-    slots = hot
+    hot, found = cut_observed(hot_keys(large, key) if hot is None else hot, keys=F.count("*"))
+    if not found["keys"]:
+        return large.join(small, key, how)
+    slots = F.broadcast(hot) if found["keys"] <= BROADCAST_KEYS else hot
     dealt = (
         large.join(slots, key, "left")
         .withColumn(

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlytics.operators.spread import join_spread
-from threadlytics.session import cut_lineage
+from threadlytics.operators.spread import hot_keys, join_spread
+from threadlytics.session import cut_observed
 
 
 def climb(links: DataFrame) -> DataFrame:
@@ -20,17 +20,17 @@ def climb(links: DataFrame) -> DataFrame:
     they point at.  Rows that point at no row of ``links`` can never arrive and are dropped,
     as are rows on a cycle.  An id that landed more than once counts once, by its smallest
     pointer.
+
+    A round is one job: the write of its rows also counts them.  As long as any open row can
+    arrive, one does in every round, namely the nearest; so the first round without an arrival
+    is the last, and circles are not run through.
     """
+    counts = {"open": F.count_if(~F.col("done")), "done": F.count_if("done")}
     once = F.min(F.struct("up", "distance", "done")).alias("link")
-    hops = cut_lineage(links.groupBy("id").agg(once).select("id", "link.*"))
+    hops, seen = cut_observed(links.groupBy("id").agg(once).select("id", "link.*"), **counts)
     arrived = [hops.filter("done").drop("done")]
     pending = hops.filter("NOT done")
-    left = pending.count()
-    rounds = 0
-    # A path is no longer than the number of rows, so after this many doublings any row
-    # still open runs in a circle.
-    most = max(left, 1).bit_length() + 1
-    while left and rounds < most:
+    while seen["open"] and seen["done"]:
         step = hops.select(
             F.col("id").alias("up"),
             F.col("up").alias("next_up"),
@@ -44,13 +44,11 @@ def climb(links: DataFrame) -> DataFrame:
             (F.col("distance") + F.col("next_distance")).alias("distance"),
             F.col("next_done").alias("done"),
         )
-        moved = cut_lineage(moved)
+        moved, seen = cut_observed(moved, **counts)
         arrived.append(moved.filter("done").drop("done"))
         pending = moved.filter("NOT done")
         # Rows that arrived now end the walk of those that point at them next round.
         hops = hops.filter("done").unionByName(moved)
-        left = pending.count()
-        rounds += 1
     result = arrived[0]
     for part in arrived[1:]:
         result = result.unionByName(part)
@@ -91,15 +89,18 @@ def nearest_tagged(comments: DataFrame, tagged: DataFrame) -> DataFrame:
     plain = comments.select("reddit_id", "parent_kind", "parent_reddit_id").join(
         own, "reddit_id", "left_anti"
     )
+    parent = F.concat_ws(":", "parent_kind", "parent_reddit_id").alias("parent")
     # An untagged comment knows at once whether its parent is tagged; a post is the end.
     parents = join_spread(
-        plain.withColumn("parent", F.concat_ws(":", "parent_kind", "parent_reddit_id")),
+        plain.withColumn("parent", parent),
         marks.select(
             F.concat_ws(":", "parent_kind", "parent_reddit_id").alias("parent"), "tagged_parent"
         ),
         "parent",
         F.col("reddit_id"),
         how="left",
+        # Counted over all comments, so that neither texts nor tags are read for it.
+        hot=hot_keys(comments.select(parent), "parent"),
     )
     links = parents.filter(
         F.col("tagged_parent") | (F.col("parent_kind") == "comment")

@@ -6,9 +6,10 @@ Tags are added to the texts by fixed formulas, since the given prose has none.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadlytics.schemas import RAW_POSTS
 from threadlytics.sources.landing import normalize_comments, normalize_posts, valid_comments
 
 RAW_POSTS_SQL = """
@@ -116,6 +117,44 @@ union all
 select 'q' || cast(conv_id as string), 'New', cast(1 as int), turn from {conversations} where turn = 0
 """
 
+# Later versions of some comments: other text and score, other awards.
+COMMENT_UPDATES_SQL = """
+select 'c' || cast(conv_id as string) || 'x' || cast(turn - 1 as string) as reddit_id,
+  case when turn % 2 = 0 then 'Edit ' || cast(turn as string) else '[removed]' end as body,
+  cast(conv_id % 7 + turn as int) as score,
+  case when turn % 3 = 0 then split('platinum,gold', ',') end as award_names, turn as landed_at
+from {conversations} where turn > 1 and conv_id % 3 > 0
+"""
+
+# Every turn read as a landing of one of its thread's first three comments.
+COMMENT_LANDINGS_SQL = """
+select 'c' || cast(conv_id as string) || 'x' || cast(turn % 3 as string) as id,
+  'p' || cast(conv_id as string) as post_id, 't3_p' || cast(conv_id as string) as parent_id, role as author,
+  ' ' || text as body, cast(1704067200 + conv_id * 7200 + turn as bigint) as created_utc, cast(turn as int) as score,
+  cast(null as int) as total_awards_received,
+  case when turn % 2 = 0 then split('gold,silver', ',') end as all_awardings,
+  case when turn % 3 = 0 then split('wholesome', ',') end as awardings, turn as landed_at
+from {conversations} where turn > 0
+"""
+
+# Comments in trees: turn n replies to turn n / 2; every third one landed twice.
+BRANCHING_SQL = """
+select 'c' || cast(conv_id as string) || 'x' || cast(turn as string) as reddit_id,
+  'p' || cast(conv_id as string) as post_reddit_id,
+  case when turn = 1 then 'p' || cast(conv_id as string)
+    else 'c' || cast(conv_id as string) || 'x' || cast(cast(floor(turn / 2) as int) as string) end as parent_reddit_id,
+  case when turn = 1 then 'post' else 'comment' end as parent_kind,
+  cast(1704067200 + conv_id * 7200 + turn as bigint) as created_epoch
+from {conversations} t join (values (0, 1), (1, 0), (2, 0), (0, 2)) s(r, copy) on turn % 3 = s.r where turn > 0
+"""
+
+# What a content says in its second and third landing; by score some stay as they are.
+EDITS = {
+    2: "case when score % 3 = 1 then case when score % 2 = 0 then 'Sold it all for $GME' else 'Sold it' end else text end",
+    3: "case when score % 3 = 1 then case when score % 2 = 0 then 'Sold it all for $GME' else 'Sold it' end "
+       "when score % 3 = 2 then ' ' else text end",
+}
+
 # Every turn read as a landing of its thread's post.
 POST_LANDINGS_SQL = """
 select 'p' || cast(conv_id as string) as id, ' Turn ' || cast(turn as string) as title,
@@ -183,6 +222,70 @@ def comments(spark: SparkSession, sf_dir: str, read=texts) -> DataFrame:
     )
 
 
+def awards(names: Column) -> Column:
+    """Names of awards as the forum lands them, a map each."""
+    return F.transform(names, lambda name: F.create_map(F.lit("name"), name))
+
+
+def landed_comments(spark: SparkSession, sf_dir: str, read=texts) -> DataFrame:
+    """Raw comments in the layout of a landing, awards and all."""
+    return raw_comments(spark, sf_dir, read).withColumns(
+        {name: awards(F.col(name)) for name in ("all_awardings", "awardings")}
+    )
+
+
+def comment_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _sql(spark, COMMENT_UPDATES_SQL, sf_dir, "conversations")
+    return rows.withColumn("awards", awards(F.coalesce("award_names", F.array()))).drop("award_names")
+
+
+def comment_landings(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
+    return _sql(spark, COMMENT_LANDINGS_SQL, sf_dir, "conversations", read).withColumns(
+        {name: awards(F.col(name)) for name in ("all_awardings", "awardings")}
+    )
+
+
+def post_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed posts as JSON lines; some are cut short, some have no id or an empty one."""
+    rows = raw_posts(spark, sf_dir)
+    number = F.substring("id", 2, 20).cast("long")
+    odd = F.when(number % 10 == 7, F.when(number % 20 == 7, "").otherwise(F.lit(None))).otherwise(F.col("id"))
+    line = F.to_json(F.struct(*[odd.alias("id") if c == "id" else F.col(c) for c in RAW_POSTS.fieldNames()]))
+    return rows.select(F.when(number % 10 == 3, F.left(line, F.lit(20))).otherwise(line).alias("value"))
+
+
+def nested_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, replies): threads as nested JSON; turn n replies to turn n / 2, the first one to the post."""
+    turns = table(spark, sf_dir, "conversations").where("turn > 0").select(
+        "conv_id", "turn", F.floor(F.log2("turn")).cast("int").alias("level"),
+        F.to_json(F.struct(
+            F.concat(F.lit("c"), "conv_id", F.lit("x"), "turn").alias("id"), F.col("role").alias("author"),
+            F.col("text").alias("body"), (1704067200 + F.col("conv_id") * 7200 + F.col("turn")).alias("created_utc"),
+            F.col("turn").alias("score"), (F.col("turn") % 2).alias("total_awards_received"),
+            awards(F.when(F.col("turn") % 2 == 1, F.array(F.lit("gold"), F.lit("silver")))).alias("all_awardings"),
+            awards(F.when(F.col("turn") % 3 == 0, F.array(F.lit("wholesome")))).alias("awardings"),
+        )).alias("own"),
+    )
+    below = turns.limit(0).select("conv_id", "turn", F.lit("").alias("replies"))
+    for level in range(5, -1, -1):
+        level_nodes = turns.where(F.col("level") == level).join(below, ["conv_id", "turn"], "left")
+        node = F.concat(
+            F.expr("left(own, length(own) - 1)"), F.lit(',"replies":['), F.coalesce("replies", F.lit("")), F.lit("]}")
+        )
+        below = level_nodes.groupBy("conv_id", F.floor(F.col("turn") / 2).cast("int").alias("turn")).agg(
+            F.array_join(F.sort_array(F.collect_list(node)), ",").alias("replies")
+        )
+    return below.select(
+        F.concat(F.lit("p"), "conv_id").alias("id"), F.concat(F.lit("["), "replies", F.lit("]")).alias("replies")
+    )
+
+
+def branching_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments whose parents are those of :func:`nested_posts`, each third one landed twice."""
+    flat = _sql(spark, BRANCHING_SQL, sf_dir, "conversations")
+    return flat.withColumn("created_utc", F.timestamp_seconds("created_epoch"))
+
+
 def post_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, POST_UPDATES_SQL, sf_dir, "conversations")
 

@@ -33,8 +33,8 @@ def load_symbols(spark: SparkSession, path: str) -> DataFrame:
 def symbols_document(symbols: DataFrame, updated_at: float) -> DataFrame:
     """One row with the sorted, distinct symbols as a JSON document.
 
-    Symbols have at most six characters and are made distinct first, so the document is as
-    long as the list of listed symbols.
+    The format is one document, which a reader holds whole; a list too long for that is written by
+    :func:`save_symbol_rows`.
     """
     return (
         symbols.select("symbol")
@@ -50,3 +50,17 @@ def symbols_document(symbols: DataFrame, updated_at: float) -> DataFrame:
 
 def save_symbols(symbols: DataFrame, path: str, updated_at: float) -> None:
     symbols_document(symbols, updated_at).write.mode("overwrite").text(path)
+
+
+def symbol_rows(symbols: DataFrame, updated_at: float) -> DataFrame:
+    """The symbol list with a JSON document per symbol, sorted over all tasks: ``{"symbols": [one], ...}``.
+
+    Every line is a document that :func:`symbols_of` reads, and no task holds more than its range.
+    """
+    document = F.to_json(F.struct(F.array("symbol").alias("symbols"), F.lit(float(updated_at)).alias("updated_at")))
+    return symbols.select("symbol").distinct().orderBy("symbol").select(document.alias("value"))
+
+
+def save_symbol_rows(symbols: DataFrame, path: str, updated_at: float) -> None:
+    """Write :func:`symbol_rows`, whose files in the order of their names hold the list in order."""
+    symbol_rows(symbols, updated_at).write.mode("overwrite").text(path)

@@ -2,27 +2,34 @@
 
 Per-batch results go to ``batch_id=<n>`` folders of a parquet log.  A batch that runs again
 after a failure overwrites its own folder, so every job is idempotent, and a batch costs
-what its own rows cost: the log is folded by key when it is read, not when it is written.
+what its own rows cost: the log is folded by key when it is read, and :func:`compact` folds what
+is there into a base table now and then.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from threadlytics.operators import aggregates, mentions as direct
 from threadlytics.operators.filters import analyzable
-from threadlytics.operators.maintenance import latest_per_key
+from threadlytics.operators.maintenance import latest_per_key, sized
 from threadlytics.plans import analysis
 from threadlytics.schemas import KEYS
+from threadlytics.session import cut_lineage
 
 BATCH = "batch_id"
 
 
+COMPACTED = "compacted"
+
+
 def append_batch(path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` sink that writes each batch to a folder of its own."""
 
@@ -49,18 +56,65 @@ def run(
     )
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame | None:
-    """All batches of a log, or None before the first one; any other error is raised."""
+def _stored(spark: SparkSession, base: str, path: str) -> DataFrame | None:
+    """The parquet tables at ``path``, or None if there are none; any other error is raised."""
     try:
-        return (
-            spark.read.option("basePath", path).option("mergeSchema", True).parquet(f"{path}/{BATCH}=*")
-        )
+        return spark.read.option("basePath", base).option("mergeSchema", True).parquet(path)
     except AnalysisException as fault:
         if fault.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
+def _compacted_upto(spark: SparkSession, path: str) -> int | None:
+    """The last batch that a finished compaction holds."""
+    finished = _stored(spark, path, f"{path}/{COMPACTED}")
+    return None if finished is None else finished.agg(F.max("upto")).head()[0]
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame | None:
+    """All batches of a log, or None before the first one.
+
+    Batches that were compacted come as one, that of the last of them, so the cost of reading is
+    that of the folded rows and of the batches since.
+    """
+    log, upto = _stored(spark, path, f"{path}/{BATCH}=*"), _compacted_upto(spark, path)
+    if upto is None:
+        return log
+    base = spark.read.parquet(f"{path}/base-{upto}").withColumn(BATCH, F.lit(upto))
+    if log is None:
+        return base
+    return base.unionByName(log.where(F.col(BATCH) > upto), allowMissingColumns=True)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def compact(spark: SparkSession, path: str, fold: Callable[[DataFrame], DataFrame]) -> int | None:
+    """Fold all batches of a log so far into a base table, and return the last of them.
+
+    ``fold`` takes the rows of the log with their batch and returns them folded, without it:
+    one of :data:`FOLDS`.  The base table is written first, named as finished after that, and only
+    then the folders it holds are removed: a compaction that failed at any point is run again,
+    and a batch that runs again after it is not read twice.  A reader that planned before the
+    removal has to start again.
+    """
+    upto = _compacted_upto(spark, path)
+    batches = _stored(spark, path, f"{path}/{BATCH}=*")
+    consumed = [] if batches is None else [r[0] for r in batches.select(F.col(BATCH).cast("int")).distinct().collect()]
+    last = max([n for n in consumed if upto is None or n > upto], default=None)
+    if last is not None:
+        sized(fold(read_log(spark, path))).write.mode("overwrite").parquet(f"{path}/base-{last}")
+        spark.range(1).select(F.lit(last).alias("upto")).write.mode("append").parquet(f"{path}/{COMPACTED}")
+        if upto is not None:
+            _remove(spark, f"{path}/base-{upto}")
+    for batch in consumed:
+        _remove(spark, f"{path}/{BATCH}={batch}")
+    return upto if last is None else last
+
+
 # A table that batches look up: a frame that never changes, or a function that reads it anew.
 Table = DataFrame | Callable[[SparkSession], DataFrame]
 
@@ -69,6 +123,13 @@ def _now(table: Table, spark: SparkSession) -> DataFrame:
     return table(spark) if callable(table) else table
 
 
+def _begun(spark: SparkSession, path: str) -> DataFrame:
+    log = read_log(spark, path)
+    if log is None:
+        raise LookupError(f"no batch has been written to {path} yet")
+    return log
+
+
 def ingest(
     stream: DataFrame, table: str, path: str, checkpoint: str, order: str = "landed_at"
 ) -> StreamingQuery:
@@ -87,8 +148,7 @@ def ingest(
 
 def current(spark: SparkSession, table: str, path: str) -> DataFrame:
     """The table an ingest log amounts to: the row of the last batch for each key."""
-    log = read_log(spark, path)
-    return latest_per_key(log, KEYS[table], [BATCH]).drop(BATCH)
+    return FOLDS[table](_begun(spark, path))
 
 
 def mentions(stream: DataFrame, symbols: Table, path: str, checkpoint: str) -> StreamingQuery:
@@ -106,7 +166,71 @@ def mentions(stream: DataFrame, symbols: Table, path: str, checkpoint: str) -> S
 
 def current_mentions(spark: SparkSession, path: str) -> DataFrame:
     """Best mention per content and ticker over all batches of a mentions log."""
-    return direct.best_mentions(read_log(spark, path).drop(BATCH))
+    return FOLDS["mentions"](_begun(spark, path))
+
+
+# State of an item: the version that was analysed last.
+VERSION = "digest string, version long"
+
+
+def _changed(names: list[str], order: str):
+    """Per item: its last row of the batch, if its text is not the one analysed last.
+
+    Only the row that stays is handed on; state is a digest and the order value of an item.
+    """
+
+    def last_version(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last = None
+        for rows in batches:
+            known = rows if last is None else pd.concat([last, rows])
+            last = known.sort_values(order, kind="stable", na_position="first").tail(1)
+        digest = last["digest"].iloc[0]
+        version = -1 if pd.isna(last[order].iloc[0]) else int(last[order].iloc[0])
+        before = state.get if state.exists else (None, -1)
+        if version < before[1]:
+            return
+        state.update((digest, version))
+        if digest != before[0]:
+            yield last[names]
+
+    return last_version
+
+
+def edited_mentions(
+    stream: DataFrame, symbols: Table, path: str, checkpoint: str, order: str = "landed_at"
+) -> StreamingQuery:
+    """Direct mentions of contents that land again and again, edited or not.
+
+    ``order``, a number from 0 on, tells which landing of an item is the last, in a batch and
+    over all of them.  Keyed state holds a digest of the text that was analysed last, so an
+    unchanged item costs a look-up, across restarts.  A batch logs one row without a ticker for
+    every item it analysed, beside the mentions: that takes back the tickers of earlier versions,
+    also when an edit, a removal or a blank text leaves none.
+    """
+    handed = stream.withColumns({order: F.col(order).cast("long"), "digest": F.md5(F.coalesce("text", F.lit("")))})
+    changed = handed.groupBy("kind", "reddit_id").applyInPandasWithState(
+        _changed(stream.columns, order), handed.drop("digest").schema, VERSION, "append", "NoTimeout"
+    )
+
+    def analyze(batch: DataFrame, batch_id: int) -> None:
+        items = cut_lineage(batch)
+        found = direct.direct_mentions(analyzable(items), _now(symbols, batch.sparkSession))
+        seen = items.select("kind", F.col("reddit_id").alias("content_reddit_id"))
+        append_batch(path)(found.unionByName(seen, allowMissingColumns=True), batch_id)
+
+    return run(changed, analyze, checkpoint)
+
+
+def _last_versions(log: DataFrame) -> DataFrame:
+    """The rows of each item's last batch, that without a ticker included."""
+    item = ["kind", "content_reddit_id"]
+    last = log.groupBy(*item).agg(F.max(BATCH).alias(BATCH))
+    return log.join(last, [*item, BATCH], "left_semi").drop(BATCH)
+
+
+def current_edited_mentions(spark: SparkSession, path: str) -> DataFrame:
+    """Best mention per ticker of the last version of each content."""
+    return direct.best_mentions(_last_versions(_begun(spark, path)).where(F.col("ticker").isNotNull()))
 
 
 def contextual(
@@ -141,7 +265,7 @@ def daily_stats(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 
 def current_daily_stats(spark: SparkSession, path: str, content: DataFrame) -> DataFrame:
     """``aggregates.daily_stats`` of all batches so far, with the engagement of ``content``."""
-    parts = aggregates.fold_daily(read_log(spark, path).drop(BATCH))
+    parts = FOLDS["daily_stats"](_begun(spark, path))
     return aggregates.present_daily(parts, content)
 
 
@@ -156,4 +280,19 @@ def ticker_totals(stream: DataFrame, path: str, checkpoint: str) -> StreamingQue
 
 def current_ticker_totals(spark: SparkSession, path: str) -> DataFrame:
     """Totals of all batches so far: the sum of their parts."""
-    return aggregates.present_totals(aggregates.fold_totals(read_log(spark, path).drop(BATCH)))
+    return aggregates.present_totals(FOLDS["ticker_totals"](_begun(spark, path)))
+
+
+def _latest(table: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda log: latest_per_key(log, KEYS[table], [BATCH]).drop(BATCH)
+
+
+# How the log of each job is folded, to be read or compacted.
+FOLDS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "posts": _latest("posts"),
+    "comments": _latest("comments"),
+    "mentions": lambda log: direct.best_mentions(log.drop(BATCH)),
+    "edited_mentions": _last_versions,
+    "daily_stats": lambda log: aggregates.fold_daily(log.drop(BATCH)),
+    "ticker_totals": lambda log: aggregates.fold_totals(log.drop(BATCH)),
+}
