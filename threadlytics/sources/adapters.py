@@ -184,8 +184,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose columns are costly to look through, on all cores."""
-    return table(spark, sf_dir, name)
+    """A table whose columns are costly to look through, on all cores.
+
+    The given files hold one row group each, which one task reads whatever the session's split
+    sizes are; fewer files than cores are dealt out once.  Larger tables are read as they lie.
+    """
+    scan, cores = table(spark, sf_dir, name), spark.sparkContext.defaultParallelism
+    return scan.repartition(cores) if len(scan.inputFiles()) < cores else scan
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -200,23 +205,23 @@ def _sql(spark: SparkSession, query: str, sf_dir: str, name: str, read=table) ->
     return spark.sql(query, **{name: read(spark, sf_dir, name)})
 
 
-def raw_posts(spark: SparkSession, sf_dir: str, read=texts) -> DataFrame:
+def raw_posts(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
     return _sql(spark, RAW_POSTS_SQL, sf_dir, "conversations", read).withColumn(
         "processed_at", F.timestamp_seconds("processed_epoch")
     )
 
 
-def raw_comments(spark: SparkSession, sf_dir: str, read=texts) -> DataFrame:
+def raw_comments(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
     return _sql(spark, RAW_COMMENTS_SQL, sf_dir, "conversations", read).withColumn(
         "processed_at", F.timestamp_seconds("processed_epoch")
     )
 
 
-def posts(spark: SparkSession, sf_dir: str, read=texts) -> DataFrame:
+def posts(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
     return normalize_posts(raw_posts(spark, sf_dir, read), keep=("processed_at",))
 
 
-def comments(spark: SparkSession, sf_dir: str, read=texts) -> DataFrame:
+def comments(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
     return normalize_comments(
         valid_comments(raw_comments(spark, sf_dir, read)), keep=("processed_at",)
     )
@@ -227,7 +232,7 @@ def awards(names: Column) -> Column:
     return F.transform(names, lambda name: F.create_map(F.lit("name"), name))
 
 
-def landed_comments(spark: SparkSession, sf_dir: str, read=texts) -> DataFrame:
+def landed_comments(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
     """Raw comments in the layout of a landing, awards and all."""
     return raw_comments(spark, sf_dir, read).withColumns(
         {name: awards(F.col(name)) for name in ("all_awardings", "awardings")}
