@@ -222,11 +222,10 @@ def brute_lines(rows, least):
     return sorted(out)
 
 
-@pytest.mark.parametrize("heavy, shard", [(4096, 16384), (3, 2)])
-def test_lines(docs, rows, monkeypatch, heavy, shard):
-    monkeypatch.setattr(lines, "HEAVY", heavy)
+@pytest.mark.parametrize("cell, shard", [(500_000, 16384), (3, 2)])
+def test_lines(docs, rows, monkeypatch, cell, shard):
     monkeypatch.setattr(lines, "KEYS_PER_SHARD", shard)
-    got = lines.drop_common_lines(docs, 10, carry=["source", "hits"])
+    got = lines.drop_common_lines(docs, 10, carry=["source", "hits"], cell=cell)
     assert got.columns == ["doc_id", "text", "n_lines", "n_dropped", "source", "hits"]
     assert sorted(tuple(r)[:4] for r in got.collect()) == brute_lines(rows, 10)
 

@@ -2,8 +2,8 @@
 
 Each shard of the distinct line keys becomes one minimal perfect hash with an array of
 fingerprints and one of counts; documents probe the arrays.  Arrays and probes meet by shard,
-so neither is ever whole in one place.  Keys so frequent that few can exist are told apart
-first and handed to every task, which keeps the probes of a shard even.
+so neither is ever whole in one place.  Every probe goes through the arrays: a shard that holds
+a frequent line gets copies of its arrays, among which its probes are dealt.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ from threadlytics.llm.common import cut, text_bytes
 
 STRIPPED = b" \t\n\x0b\f\r"
 KEYS_PER_SHARD = 16384
-# A key in more than one of HEAVY-th of all probes is heavy: there are fewer than HEAVY such keys.
-HEAVY = 4096
+# Probes that meet the arrays of a shard in one task.  Shards with more number fewer than all
+# probes divided by this, which bounds what is broadcast to tell them.
+CELL = 500_000
 GAMMA = 2.0
 LEVELS = 64
 
@@ -98,20 +99,25 @@ class PerfectHash:
 
 
 def probes(docs: DataFrame, min_chars: int = 1) -> DataFrame:
-    """(doc_id, hi, lo): the distinct line keys of every row."""
+    """(doc_id, seal, hi, lo): the distinct line keys of every row; ``seal`` is a hash of its text."""
 
     def run(batches):
         for batch in batches:
-            ids, his, los = [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids, seals, his, los = [], [], [], []
+            for doc, seal, text in zip(*(c.to_pylist() for c in batch.columns)):
                 keys = {line_key(line, min_chars) for line in text.split(b"\n")}
                 keys.discard(None)
                 ids.extend([doc] * len(keys))
+                seals.extend([seal] * len(keys))
                 his.extend(k[0] for k in keys)
                 los.extend(k[1] for k in keys)
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(his, pa.int64()), pa.array(los, pa.int32())], ["doc_id", "hi", "lo"])
+            yield pa.record_batch(
+                [pa.array(ids, pa.int64()), pa.array(seals, pa.int64()), pa.array(his, pa.int64()), pa.array(los, pa.int32())],
+                ["doc_id", "seal", "hi", "lo"],
+            )
 
-    return docs.select(F.col("doc_id").cast("long"), text_bytes()).mapInArrow(run, "doc_id long, hi long, lo int")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("seal"), text_bytes())
+    return rows.mapInArrow(run, "doc_id long, seal long, hi long, lo int")
 
 
 def build_index(counts: DataFrame) -> DataFrame:
@@ -130,10 +136,13 @@ def build_index(counts: DataFrame) -> DataFrame:
 
 
 def probe(rows: DataFrame, index: DataFrame, min_docs: int) -> DataFrame:
-    """The (doc_id, hi, lo) of ``rows`` whose count in the index is ``min_docs`` or more."""
+    """The (doc_id, seal, hi, lo) of ``rows`` whose count in the index is ``min_docs`` or more.
+
+    Both sides meet by shard and copy.
+    """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = left.select(["doc_id", "hi", "lo"])
+        left = left.select(["doc_id", "seal", "hi", "lo"])
         if not left.num_rows or not right.num_rows:
             return left.slice(0, 0)
         hi, lo = left.column("hi").to_numpy(), left.column("lo").to_numpy()
@@ -144,34 +153,44 @@ def probe(rows: DataFrame, index: DataFrame, min_docs: int) -> DataFrame:
         hit = (place >= 0) & (prints[place] == lo) & (numbers[place] >= min_docs)
         return left.filter(pa.array(hit))
 
-    return rows.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(run, "doc_id long, hi long, lo int")
+    by = ["shard", "copy"]
+    return rows.groupBy(*by).cogroup(index.groupBy(*by)).applyInArrow(run, "doc_id long, seal long, hi long, lo int")
 
 
-def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, carry=()) -> DataFrame:
+def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, carry=(), cell: int = CELL) -> DataFrame:
     """(doc_id, text, n_lines, n_dropped, and the ``carry`` columns) of every row.
 
     A line goes if its key, stripped and lower-cased, has ``min_chars`` code points and is in
     ``min_docs`` rows; the other lines stay as they are, joined by a newline.  Null and empty
-    texts are one empty line.  Rows that share a doc_id count as rows of their own.  An empty
-    table gives no rows.
+    texts are one empty line.  Rows that share a doc_id, or have none, count as rows of their own;
+    they get their hits back by doc_id and a hash of the text, which tell rows apart as far as
+    their lines differ.  An empty table gives no rows.
     """
     rows = cut(probes(docs, min_chars))
     counts = cut(rows.groupBy("hi", "lo").agg(F.count("*").alias("n")))
-    total, distinct = rows.count(), counts.count()
-    bound = max(min_docs, total // HEAVY + 1)
-    heavy = {(r[0], r[1]) for r in counts.where(F.col("n") >= bound).select("hi", "lo").collect()}
-    shard = F.pmod(F.col("hi"), F.lit(max(1, -(-distinct // KEYS_PER_SHARD)))).alias("shard")
-    index = build_index(counts.select(shard, "hi", "lo", "n"))
-    rest = rows.select(shard, "doc_id", "hi", "lo")
-    if heavy:
-        # fewer than HEAVY rows
-        marks = F.broadcast(counts.where(F.col("n") >= bound).select("hi", "lo"))
-        rest = rest.join(marks, ["hi", "lo"], "left_anti").select("shard", "doc_id", "hi", "lo")
-    hits = probe(rest, index, min_docs)
-    by_doc = hits.groupBy("doc_id").agg(F.collect_list(F.struct("hi", "lo")).alias("hits"))
-    by_doc = by_doc.select("doc_id", F.col("hits.hi").alias("hits_hi"), F.col("hits.lo").alias("hits_lo"))
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(), *carry)
-    joined = base.join(by_doc, "doc_id", "left")
+    shard = F.pmod(F.col("hi"), F.lit(max(1, -(-counts.count() // KEYS_PER_SHARD)))).alias("shard")
+    sharded = counts.select(shard, "hi", "lo", "n")
+    # Shards with more probes than a cell takes: fewer than all probes divided by that.
+    crowded = F.broadcast(
+        cut(sharded.groupBy("shard").agg(F.sum("n").alias("all")).where(F.col("all") > cell).select(
+            "shard", F.ceil(F.col("all") / cell).cast("int").alias("copies")
+        ))
+    )
+    copies = F.coalesce("copies", F.lit(1))
+    index = build_index(sharded).join(crowded, "shard", "left").withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
+    dealt = rows.select(shard, "doc_id", "seal", "hi", "lo").join(crowded, "shard", "left")
+    dealt = dealt.withColumn("copy", F.pmod(F.xxhash64("doc_id", "seal"), copies).cast("int"))
+    hits = probe(dealt.drop("copies"), index.drop("copies"), min_docs)
+    by_doc = hits.groupBy("doc_id", "seal").agg(F.collect_set(F.struct("hi", "lo")).alias("hits"))
+    by_doc = by_doc.select(
+        F.col("doc_id").alias("hit_id"), F.col("seal").alias("hit_seal"),
+        F.col("hits.hi").alias("hits_hi"), F.col("hits.lo").alias("hits_lo"),
+    )
+    base = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_bytes(), F.xxhash64("text").alias("__seal"), *carry
+    )
+    same = (F.col("__seal") == F.col("hit_seal")) & F.col("doc_id").eqNullSafe(F.col("hit_id"))
+    joined = base.join(by_doc, same, "left").drop("hit_id", "hit_seal", "__seal")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema) if carry else ""
     schema = "doc_id long, text string, n_lines long, n_dropped long" + (", " + kinds if kinds else "")
 
@@ -181,7 +200,7 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, c
             texts, lines, dropped = [], [], []
             for text, a, b in zip(batch.column("text").to_pylist(), his, los):
                 parts = text.split(b"\n")
-                gone = heavy.union(zip(a, b)) if a else heavy
+                gone = set(zip(a, b)) if a else ()
                 kept = [p for p in parts if line_key(p, min_chars) not in gone] if gone else parts
                 texts.append(b"\n".join(kept))
                 lines.append(len(parts))
