@@ -46,15 +46,21 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp) of every row, fp as a signed long."""
+    return with_fingerprints(docs.select(F.col("doc_id").cast("long"), "text"), shingle).select("doc_id", "fp")
+
+
+def with_fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """The rows of ``docs`` with their ``fp``."""
 
     def run(batches):
         for batch in batches:
-            fps = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
-            yield pa.record_batch(
-                [batch.column(0).cast(pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"]
-            )
+            fps = [fingerprint(t, shingle) for t in batch.column("__text").to_pylist()]
+            fp = pa.array(np.array(fps, np.uint64).view(np.int64))
+            yield pa.record_batch([*(batch.column(c) for c in kept), fp], [*kept, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), text_bytes()).mapInArrow(run, "doc_id long, fp long")
+    kept = [c for c in docs.columns if c != "text"]
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name != "text")
+    return docs.select(*kept, text_bytes().alias("__text")).mapInArrow(run, kinds + "fp long")
 
 
 def colliding(fps: DataFrame, radius: int = 2) -> DataFrame:
@@ -83,32 +89,50 @@ def colliding(fps: DataFrame, radius: int = 2) -> DataFrame:
     return pairs.distinct().where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
+def fingerprint_classes(fps: DataFrame, radius: int) -> DataFrame:
+    """(fp, component, component_id) of the fingerprints in (doc_id, fp)."""
+    least = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    linked = components(colliding(least.select("fp"), radius))
+    joined = least.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
+    joined = joined.withColumn("component", F.coalesce("component", "fp"))
+    root = joined.groupBy("component").agg(F.min("least").alias("component_id"))
+    return cut(joined.join(root, "component").select("fp", "component", "component_id"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """(doc_id, fp, component_id): groups of documents linked by fingerprints within ``radius`` bits.
 
-    ``component_id`` is the smallest doc_id of the group, the row's own if it has no other.
-    Null and empty texts have fingerprint zero and are linked like any other.  Rows with the
-    same doc_id stay rows.  An empty table gives no rows; other columns are ignored.
+    ``component_id`` is the smallest doc_id of the group, the row's own if it has no other; null
+    if no row of the group has one.  Null and empty texts have fingerprint zero and are linked
+    like any other.  Rows with the same doc_id stay rows.  An empty table gives no rows; other
+    columns are ignored.
     """
     rows = cut(fingerprints(docs, shingle))
-    least = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    linked = components(colliding(least.select("fp"), radius))
-    joined = least.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
-    joined = joined.withColumn("component", F.coalesce("component", "fp"))
-    root = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = cut(joined.join(root, "component").select("fp", "component_id"))
-    return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(fingerprint_classes(rows, radius), "fp").select("doc_id", "fp", "component_id")
+
+
+def _order(docs: DataFrame, names: list[str]) -> list:
+    """``names`` as columns that can be compared; maps, and what holds them, as JSON text."""
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    return [F.to_json(F.struct(n)) if "map<" in kinds[n] or "variant" in kinds[n] else F.col(n) for n in names]
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of their group.
+    """One row of ``docs`` of each group: that of the group's smallest doc_id.
 
     Rows that repeat a kept doc_id count as copies: the one with the smallest text (null first),
-    then the smallest other columns, stays.
+    then the smallest other columns, stays.  Rows without a doc_id are copies of any that have
+    one; in a group without any doc_id the row with the smallest text stays.
     """
-    winners = near_duplicates(docs, shingle, radius).where("doc_id = component_id").select("doc_id").distinct()
+    rows = cut(fingerprints(docs, shingle))
+    classes = fingerprint_classes(rows, radius)
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    kept = docs.join(winners, "doc_id", "left_semi")
-    return kept.groupBy("doc_id").agg(F.min(F.struct("text", *rest)).alias("row")).select("doc_id", "row.*").select(
-        *docs.columns
-    )
+    least = F.min_by(F.struct("text", *rest), F.struct("text", *_order(docs, rest))).alias("row")
+    winners = classes.select(F.col("component_id").alias("doc_id")).where("doc_id is not null").distinct()
+    named = docs.join(winners, "doc_id", "left_semi").groupBy("doc_id").agg(least).select("doc_id", "row.*")
+    bare = docs.where("doc_id is null")
+    marked = with_fingerprints(bare.select(*[F.col(c).alias(f"__of_{c}") for c in docs.columns], "text"), shingle)
+    alone = classes.where("component_id is null").select("fp", "component")
+    nameless = marked.join(alone, "fp").select("component", *[F.col(f"__of_{c}").alias(c) for c in docs.columns])
+    nameless = nameless.groupBy("component").agg(least).select(F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "row.*")
+    return named.select(*docs.columns).union(nameless.select(*docs.columns))
