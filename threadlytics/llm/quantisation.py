@@ -147,7 +147,7 @@ def matches(index: pa.Table, asked: pa.Table, model: Quantiser, which: int, thre
 def linked(classes: DataFrame, threshold: float, margin: float) -> DataFrame:
     """(a, b, n) of distinct vectors (rep, n, embedding) of one length; see :func:`matches`."""
     total = classes.count()
-    sample = classes.select("rep", "embedding").orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).toArrow()
+    sample = classes.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(SAMPLE).toArrow()
     lists = int(min(MOST_LISTS, max(1, np.sqrt(total))))
     model = Quantiser.fit(unit(vectors_of(sample.column("embedding"))), lists)
 
@@ -201,12 +201,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, margin: float =
     Rows of equal vectors are one class, whatever its size; classes are compared, and each row
     gets its class's links and the other rows of the class.  Vectors that are null, empty, zero,
     or hold a null or non-finite component link with nothing.  Vectors of different lengths
-    are not compared.  No link found is below ``threshold``; a pair is missed only where neither
+    are not compared.  Rows of one vec_id are rows of their own.  A row without a vec_id counts like
+    any other but names no component; one without any has a null component_id, and its rows are
+    kept.  No link found is below ``threshold``; a pair is missed only where neither
     vector is within ``margin`` of the border to the other's list.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     fine = rows.where(FINE)
-    classes = cut(fine.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
+    # Classes are numbered as they are written: ids may repeat or be missing.
+    classes = fine.groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
+    classes = cut(classes.withColumn("rep", F.monotonically_increasing_id()))
     lengths = sorted(r[0] for r in classes.select(F.size("embedding")).distinct().collect())
     found = None
     for length in lengths:
@@ -218,9 +222,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, margin: float =
     counts = found.groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
     groups = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
     told = classes.join(counts, "rep", "left").join(groups, "rep", "left").select(
-        "embedding", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id")
+        "embedding", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"), "least"
     )
     told = cut(told)
+    told = told.join(told.groupBy("component").agg(F.min("least").alias("component_id")), "component").drop("component", "least")
     joined = fine.join(told, "embedding").select("vec_id", "n_links", "component_id")
     alone = rows.where(f"not coalesce({FINE}, false)").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return joined.union(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return joined.union(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

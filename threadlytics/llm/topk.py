@@ -24,10 +24,11 @@ EARLIEST = 0.3  # share of the postings below which no proof is tried
 def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """(vec_id, v) with v = floor(scale * x) by component, x as double.
 
-    Vectors that are null, empty, or hold a null or non-finite component take no part.
+    Vectors that are null, empty, or hold a null or non-finite component take no part, and
+    neither do rows without a vec_id, which nothing could name.
     """
     v = F.expr(f"transform(embedding, x -> cast(floor({scale} * cast(x as double)) as bigint))")
-    fine = "embedding is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))"
+    fine = "vec_id is not null and embedding is not null and size(embedding) > 0 and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))"
     return vectors.where(fine).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
 
 
