@@ -66,38 +66,66 @@ def key_of(name: str, attrs: str) -> tuple[str, bool] | None:
     return None
 
 
+class OpenElements:
+    """The elements that are open at a place, each with the key that words in it count under.
+
+    Places are kept by name, so that finding what an end tag closes does not depend on how many
+    elements are open.
+    """
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.keys: list[tuple[str, bool]] = []
+        self.at: dict[str, list[int]] = {}
+        self.blocks: list[int] = []  # places of block elements other than p
+
+    def key(self) -> tuple[str, bool]:
+        return self.keys[-1] if self.keys else ("", False)
+
+    def start(self, name: str, attrs: str) -> None:
+        if name == "p" and self.at.get("p") and (not self.blocks or self.blocks[-1] < self.at["p"][-1]):
+            self.end("p")
+        if name in VOID or attrs.endswith("/"):
+            return
+        place = len(self.names)
+        self.keys.append(key_of(name, attrs) or self.key())
+        self.names.append(name)
+        self.at.setdefault(name, []).append(place)
+        if name in BLOCK and name != "p":
+            self.blocks.append(place)
+
+    def end(self, name: str) -> None:
+        """Close the last open element of the name and all that are open inside it; none, if there is none."""
+        if not self.at.get(name):
+            return
+        for place in range(len(self.names) - 1, self.at[name][-1] - 1, -1):
+            self.at[self.names.pop()].pop()
+            self.keys.pop()
+            if self.blocks and self.blocks[-1] == place:
+                self.blocks.pop()
+
+
 def tokens(page: str):
     """Yield (tag, key, own, text): tags as 'name' or '/name' with text None; else text between tags.
 
     ``key`` is that of the nearest element with one, ``own`` whether it is boilerplate by name.
     """
-    stack: list[tuple[str, tuple[str, bool] | None]] = []
+    opened = OpenElements()
     at = 0
-
-    def around():
-        return next((k for _, k in reversed(stack) if k), ("", False))
-
     for m in TOKEN.finditer(page):
         if m.start() > at:
-            yield None, *around(), page[at : m.start()]
+            yield None, *opened.key(), page[at : m.start()]
         at = m.end()
         if not (name := m["name"]):
             continue
         name = name.lower()
         if m["close"]:
-            for i in range(len(stack) - 1, max(-1, len(stack) - 100), -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+            opened.end(name)
         else:
-            if name == "p" and stack and any(n == "p" for n, _ in stack[-3:]):
-                while stack.pop()[0] != "p":
-                    pass
-            if name not in VOID and not m["attrs"].endswith("/"):
-                stack.append((name, key_of(name, m["attrs"])))
-        yield m["close"] + name, *around(), None
+            opened.start(name, m["attrs"])
+        yield m["close"] + name, *opened.key(), None
     if at < len(page):
-        yield None, *around(), page[at:]
+        yield None, *opened.key(), page[at:]
 
 
 class Weights:
