@@ -102,10 +102,10 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, eos: int = 2, ro
     """
 
     def run(batches):
-        from threadlytics.llm.tokens import WordEncoder
+        from threadlytics.llm.tokens import encoder_of
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, packer, end = WordEncoder(tokenizer), Packer(capacity), np.array([eos], "<u4")
+        encoder, packer, end = encoder_of(tokenizer), Packer(capacity), np.array([eos], "<u4")
         sequence = TaskContext.get().partitionId() << 33
         rows = []
 

@@ -77,3 +77,13 @@ class WordEncoder:
             get = self.words.__getitem__
             for words in split:
                 yield np.frombuffer(b"".join(map(get, words)), "<u4")
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder_of(path: str) -> WordEncoder:
+    """The encoder of this worker process: tasks that follow one another find its words known."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
