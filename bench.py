@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from threadlytics.checks.queries import QUERIES
@@ -53,6 +54,7 @@ def main() -> None:
             "spark.driver.memory": "16g",
             "spark.driver.host": "127.0.0.1",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="threadlytics-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
