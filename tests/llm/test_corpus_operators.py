@@ -2,6 +2,7 @@
 repeated rows, empty tables and extra columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -369,6 +370,35 @@ def brute_targets(sizes, weights=(5, 2, 1), most=3):
         capped |= over
 
 
+def fair_queue(rows, target):
+    """Words that a plain fair queue takes of each source: all packets by finish time, up to the budget."""
+    sources, packets = defaultdict(list), []
+    for i, t, s in rows:
+        sources[s].append((hashlib.md5(str(i).encode()).hexdigest(), len(words(t))))
+    for rank, (s, found) in enumerate(sorted(sources.items(), key=lambda x: (x[0] is None, x[0] or ""))):
+        packet, at = max(mixing.PACKET, math.ceil(target[s] / mixing.PACKETS)), 0
+        for _ in range(3):
+            for _, n in sorted(found):
+                for first in range(0, n, packet):
+                    taken = min(packet, n - first)
+                    packets.append(((at + first + taken) / target[s], rank, at + first + taken, taken, s))
+                at += n
+    left, used = sum(n for found in sources.values() for _, n in found), Counter()
+    for *_, taken, s in sorted(packets):
+        used[s] += min(taken, left)
+        left -= min(taken, left)
+    return used
+
+
+def test_a_long_document_does_not_starve_its_source(spark):
+    sizes = [("a", 10)] * 50 + [("b", 20_000), ("c", 300)]
+    df = spark.createDataFrame([(i, n, s) for i, (s, n) in enumerate(sizes)], "doc_id long, size long, source string")
+    rows, entries = mixing.queue(df)
+    used = {r.source: r.n for r in entries.groupBy("source").agg(F.sum("taken").alias("n")).collect()}
+    for r in rows.select("source", "target").distinct().collect():
+        assert abs(used[r.source] - r.target) <= 3 * mixing.PACKET
+
+
 @pytest.mark.parametrize("bucket", [4096, 3])
 def test_mixing(spark, docs, rows, nothing, monkeypatch, bucket):
     monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", bucket)
@@ -387,7 +417,10 @@ def test_mixing(spark, docs, rows, nothing, monkeypatch, bucket):
         assert r["target"] == pytest.approx(target[r["source"]]) and r["source_size"] == size[r["source"]]
         assert 0 <= r["taken"] <= 3 * r["size"]
         used[r["source"]] += r["taken"]
-    assert all(used[s] == int(target[s] + 1e-9) for s in order)
+    assert used == fair_queue(rows, target) and sum(used.values()) == sum(size.values())
+    packet = {s: max(mixing.PACKET, math.ceil(target[s] / mixing.PACKETS)) for s in order}
+    assert all(used[s] >= target[s] - packet[s] for s in order)
+    assert all(used[s] <= target[s] + sum(packet.values()) for s in order)
     queue = sorted((r.position, r.taken, r.vft) for r in entries.collect())
     assert [p for p, _, _ in queue] == np.cumsum([0, *(t for _, t, _ in queue)])[:-1].tolist()
     assert [v for _, _, v in queue] == sorted(v for _, _, v in queue)
@@ -395,6 +428,7 @@ def test_mixing(spark, docs, rows, nothing, monkeypatch, bucket):
     assert mixed.columns == docs.columns
     out = Counter()
     for r in mixed.collect():
+        assert (r.hits, r.th, r.n_lines) == ("x", None, 1)
         out[r.source] += len(words(r.text))
     assert out == used
     assert mixing.mixed(nothing).count() == 0

@@ -88,7 +88,9 @@ def test_mix_meets_its_targets(stages):
         assert r.n_chars == len(r.text)
     order = sorted((s for s in size if s is not None), key=str.encode) + [None] * (None in size)
     for s, target in zip(order, brute_targets([size[s] for s in order])):
-        assert used[s] == int(target + 1e-9)
+        # one packet short at most, as the order proves; the surplus is what others are short
+        assert target - 32 <= used[s] <= target + 32 * len(order)
+    assert sum(used.values()) == sum(size.values())
 
 
 def test_packing(stages):

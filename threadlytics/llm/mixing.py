@@ -1,8 +1,14 @@
 """Weighted fair queueing of sources: virtual finish times, a global range sort, a total budget.
 
-Documents of a source are shuffled by hash and repeated in epochs.  A document's virtual
-finish time is the words of its source up to its end, divided by the source's target.  All
-sources run out of target at time one; what is still in service then is cut there.
+Documents of a source are shuffled by hash, repeated in epochs and served in packets of words.
+A packet's virtual finish time is the words of its source up to the packet's end, divided by
+the source's target.  Packets of all sources are sorted by finish time, and the sorted queue is
+cut where the running total of words reaches the budget; nothing else limits a source.
+
+Where the cut falls, all sources have been served to the same virtual time up to one packet.
+Targets add up to the budget and a source whose target is its cap ends at time one, so that
+time is one or later, no source is more than a packet short of its target, and what sources are
+given beyond their targets adds up to what others are short.
 """
 
 from __future__ import annotations
@@ -14,6 +20,8 @@ from threadlytics.llm.common import cut
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_BUCKET = 4096
+PACKET = 32  # words, at least
+PACKETS = 1024  # a packet of more words is this part of its source's target, at most
 
 
 def n_words(text: Column | str) -> Column:
@@ -54,8 +62,9 @@ def queue(docs: DataFrame, weights=(5, 2, 1), repeats: int = 3) -> tuple[DataFra
     """The mix of ``docs`` (doc_id, source, size, and ``key`` columns that are carried along).
 
     Returns (rows, entries).  rows: every input row with row_id, source_size and target.
-    entries: what the mix takes, one row per document and epoch: row_id, epoch, vft (virtual
-    finish time), taken, and position, the words taken before it in the global order.
+    entries: what the mix takes, one row per packet: row_id, epoch, vft (virtual finish time),
+    taken, and position, the words taken before it in the global order.  The packets taken of
+    a document in an epoch are its first ones.
 
     Running sums are made in two levels: documents of a source are dealt by hash to buckets of
     about ``ROWS_PER_BUCKET`` rows, sums of buckets are summed along each source, and inside
@@ -85,36 +94,42 @@ def queue(docs: DataFrame, weights=(5, 2, 1), repeats: int = 3) -> tuple[DataFra
     )
     queued = rows.withColumn("run", F.sum("size").over(inside)).join(offsets, ["source_id", "bucket"])
     before = F.col("ahead") + F.col("run") - F.col("size") + F.col("epoch") * F.col("source_size")
+    packet = F.greatest(F.lit(PACKET), F.ceil(F.col("target") / PACKETS)).cast("long")
     entries = (
         queued.where("size > 0")
+        .withColumn("packet", packet)
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
         .withColumn("before", before)
-        .withColumn("taken", F.least(F.col("size"), F.floor("target") - F.col("before")))
-        .where("taken > 0")
-        .select("row_id", "doc_id", "source", "size", *keys, "epoch", "taken", "h",
-                ((F.col("before") + F.col("size")) / F.col("target")).alias("vft"))
+        .withColumn("first", F.explode(F.expr("sequence(0L, size - 1, packet)")))
+        .withColumn("taken", F.least("packet", F.col("size") - F.col("first")))
+        .withColumn("served", F.col("before") + F.col("first") + F.col("taken"))
+        .select("row_id", "doc_id", "source", "source_id", "size", *keys, "epoch", "taken", "served",
+                (F.col("served") / F.col("target")).alias("vft"))
     )
-    return rows.drop("bits", "bucket", "h", "docs"), truncated(entries, rows)
+    return rows.drop("source_id", "bits", "bucket", "h", "docs"), truncated(entries, rows)
 
 
 def truncated(entries: DataFrame, rows: DataFrame) -> DataFrame:
     """Sort entries globally by virtual finish time and stop at the total budget, all words of ``rows``.
 
     The range partitions are written once; sums of partitions give each its offset, so that the
-    running sum over the whole order needs no task that sees all rows.
+    running sum over the whole order needs no task that sees all rows.  Ties go by source and by
+    the words its packets end at, which no two packets of a source share.
     """
-    order = ["vft", "h", "doc_id", "row_id", "epoch"]
+    order = ["vft", "source_id", "served"]
     dealt = cut(entries.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
     sums = dealt.groupBy("part").agg(F.sum("taken").alias("sum"))
     ahead = F.coalesce(F.sum("sum").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = cut(sums.select("part", ahead.alias("ahead")))
     run = F.sum("taken").over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     budget = rows.agg(F.sum("size")).head()[0] or 0
-    placed = dealt.withColumn("run", run).join(offsets, "part").withColumn("position", F.col("ahead") + F.col("run") - F.col("taken"))
+    # a part that starts at the budget or beyond holds nothing that is taken
+    reached = dealt.join(F.broadcast(offsets.where(F.col("ahead") < budget)), "part")
+    placed = reached.withColumn("run", run).withColumn("position", F.col("ahead") + F.col("run") - F.col("taken"))
     return (
         placed.withColumn("taken", F.least("taken", F.lit(budget) - F.col("position")))
         .where("taken > 0")
-        .drop("part", "run", "ahead", "h")
+        .drop("part", "run", "ahead", "source_id", "served")
     )
 
 
@@ -126,9 +141,11 @@ def mixed(docs: DataFrame, weights=(5, 2, 1), repeats: int = 3) -> DataFrame:
     by number, so that each is taken as its own place in the queue says.
     """
     key = ["doc_id", "th"]
-    marked = docs.withColumn("th", F.xxhash64("text"))
-    sized = marked.select("doc_id", n_words("text").alias("size"), "source", "th")
-    _, entries = queue(sized, weights, repeats)
+    # the row travels as one column, so that none of its names meets a name of the queue
+    marked = docs.select("doc_id", "source", F.xxhash64("text").alias("th"), F.struct("*").alias("row"))
+    sized = marked.select("doc_id", n_words("row.text").alias("size"), "source", "th")
+    _, packets = queue(sized, weights, repeats)
+    entries = packets.groupBy("row_id", "doc_id", "th", "source", "size", "epoch").agg(F.sum("taken").alias("taken"))
     number = F.dense_rank().over(Window.partitionBy("doc_id", "th", "source").orderBy("row_id"))
     taken = entries.withColumn("e_copy", number).select(
         *(F.col(c).alias(f"e_{c}") for c in ("doc_id", "th", "source", "taken", "size")), "e_copy"
@@ -143,7 +160,7 @@ def mixed(docs: DataFrame, weights=(5, 2, 1), repeats: int = 3) -> DataFrame:
         & (F.col("source").isNull() == F.col("e_source").isNull())
         & F.col("copy").between(F.col("e_copy"), F.col("e_copy"))
     )
-    words = F.expr(r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')")
-    part = F.array_join(F.slice(words, F.lit(1), F.greatest(F.lit(1), F.col("e_taken").cast("int"))), " ")
-    text = F.when(F.col("e_taken") < F.col("e_size"), part).otherwise(F.col("text"))
-    return rows.join(taken, same).withColumn("text", text).select(*docs.columns)
+    words = F.expr(r"filter(split(row.text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')")
+    part = F.array_join(F.slice(words, F.lit(1), F.col("e_taken").cast("int")), " ")
+    text = F.when(F.col("e_taken") < F.col("e_size"), part).otherwise(F.col("row.text"))
+    return rows.join(taken, same).select(*(text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))

@@ -25,18 +25,29 @@ shares as (
 ),
 best as (select spare, heft from shares order by spare / heft::double desc limit 1),
 targets as (
-  select s.source, s.source_size, least(s.cap::double, (s.weight * b.spare)::double / b.heft::double) target
+  select s.source, s.source_id, s.source_size, least(s.cap::double, (s.weight * b.spare)::double / b.heft::double) target
   from shares s, best b
 ),
 queued as (
-  select d.doc_id, d.size, t.source_size, t.target,
+  select d.doc_id, d.size, t.source_size, t.target, t.source_id, row_number() over () "row",
+    greatest(32, ceil(t.target / 1024)::bigint) packet,
     sum(d.size) over (partition by t.source order by h, d.doc_id, d.size rows unbounded preceding) - d.size ahead
   from sized d join targets t on d.source is not distinct from t.source
+),
+packets as (
+  select q."row", q.target, q.source_id, least(q.packet, q.size - f."first") words,
+    q.ahead + e.epoch * q.source_size + f."first" + least(q.packet, q.size - f."first") served
+  from queued q, (values (0), (1), (2)) e(epoch), lateral (select unnest(range(0, q.size, q.packet)) "first") f
+),
+in_order as (
+  select "row", words, sum(words) over (order by served / target, source_id, served rows unbounded preceding) - words ahead
+  from packets
+),
+served as (
+  select "row", sum(greatest(0, least(words, (select sum(size) from sized) - ahead)))::bigint taken from in_order group by "row"
 )
-select doc_id, size, source_size, target,
-  (select sum(greatest(0, least(size, floor(target)::bigint - (ahead + e * source_size))))
-   from (values (0), (1), (2)) v(e))::bigint taken
-from queued
+select q.doc_id, q.size, q.source_size, q.target, coalesce(s.taken, 0)::bigint taken
+from queued q left join served s using ("row")
 """
 
 OP3 = """
