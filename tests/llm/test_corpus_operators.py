@@ -88,8 +88,62 @@ def brute_repeats(rows, width):
 
 @pytest.mark.parametrize("width, anchor", [(35, 8), (6, 6), (10, 3)])
 def test_substrings(docs, rows, width, anchor):
-    got = sorted(tuple(r) for r in substring.drop_repeats(docs, width, anchor).collect())
-    assert got == brute_repeats(rows, width)
+    got = substring.drop_repeats(docs, width, anchor).collect()
+    assert sorted(tuple(r)[:4] for r in got) == brute_repeats(rows, width)
+    texts = defaultdict(list)
+    for i, t, _ in rows:
+        texts[i].append(words(t))
+    for r in got:
+        covered = set()
+        for f in r.factors:
+            assert f.length >= width
+            part = words(next(t for i, t, _ in rows if i == r.doc_id and len(words(t)) == r.n_words))[f.start : f.start + f.length]
+            assert any(t[f.source_start : f.source_start + f.length] == part for t in texts[f.source])
+            assert (f.source, f.source_start) != (r.doc_id, f.start) or len(texts[f.source]) > 1
+            covered |= set(range(f.start, f.start + f.length))
+        assert len(covered) == r.n_removed
+
+
+def plain_greedy(docs, least):
+    """{doc: [(start, length, source, source start)]}: longest match from each word that opens one, then past it."""
+    grams = defaultdict(list)
+    for d, w in docs.items():
+        for i in range(len(w) - least + 1):
+            grams[tuple(w[i : i + least])].append((d, i))
+    out = {}
+    for d, w in docs.items():
+        out[d], i = [], 0
+        while i <= len(w) - least:
+            best = (0,)
+            for e, j in grams[tuple(w[i : i + least])]:
+                if (e, j) != (d, i):
+                    n = least
+                    while i + n < len(w) and j + n < len(docs[e]) and w[i + n] == docs[e][j + n]:
+                        n += 1
+                    best = max(best, (n, e, j))
+            if best[0]:
+                out[d].append((i, *best))
+            i += best[0] - least + 1 if best[0] else 1
+    return out
+
+
+def test_factors_are_those_of_a_plain_greedy_parser(spark):
+    rng = random.Random(11)
+    make = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    docs, shared = {}, [make(rng.randint(30, 300)) for _ in range(30)]
+    for i in range(30):
+        # every passage stands in two documents; some are followed by the same next one, some cut short
+        a, b = shared[i], shared[(i * 7 + 1) % 30]
+        docs[i] = make(rng.randint(0, 40)) + a + make(rng.choice([0, 1, 50])) + b[rng.choice([0, 5]) :] + make(rng.randint(0, 40))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: [tuple(f) for f in r.factors] for r in substring.drop_repeats(df).collect()}
+    assert got == plain_greedy(docs, 35) and sum(map(len, got.values())) > 40
+
+
+def test_parse_holds_on_to_a_source_that_goes_on():
+    runs = [(0, 3, ((1, 0, 10), (2, 0, 7))), (3, 2, ((9, 0, 0), (2, 0, 10))), (5, 1, ((2, 0, 12), (9, 0, 2))), (6, 1, ((9, 0, 3), (9, 0, 3))), (9, 1, ((9, 0, 6), (9, 0, 6)))]
+    assert substring.parse(runs[::-1], 4) == [(0, 9, (2, 0, 7)), (6, 4, (9, 0, 3)), (9, 4, (9, 0, 6))]
+    assert substring.parse([], 4) == []
 
 
 def test_substrings_in_overlapping_pieces(monkeypatch):

@@ -33,10 +33,10 @@ SLOTS = 64
 SHARE = 1024
 
 
-def among(rows: DataFrame, counted: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
-    """Rows of the written table ``rows`` whose ``keys`` stand in ``counted`` (keys, c).
+def among(rows: DataFrame, counted: DataFrame, keys: list[str], by: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of the written table ``rows`` whose ``keys`` stand in ``counted`` (keys, c, ``carry``).
 
-    ``c`` is how many of the rows have the key.  A key of more than a ``SHARE``-th of all rows
+    ``c`` is how many of the rows have the key; ``carry`` are columns that the rows get from it.  A key of more than a ``SHARE``-th of all rows
     is dealt to ``SLOTS`` tasks by a hash of ``by``; such keys number fewer than ``SHARE``,
     which bounds what is broadcast to tell their rows.
     """
@@ -45,8 +45,9 @@ def among(rows: DataFrame, counted: DataFrame, keys: list[str], by: list[str]) -
     hot = counted.where(F.col("c") > limit).select(*keys, F.lit(True).alias("hot"))
     dealt = rows.join(F.broadcast(hot), keys, "left")
     slot = F.when(F.col("hot"), F.pmod(F.xxhash64(*by), F.lit(SLOTS))).otherwise(F.lit(0)).cast("int")
-    wanted = counted.select(*keys, F.explode(slots).alias("slot"))
-    return dealt.withColumn("slot", slot).join(wanted, [*keys, "slot"], "left_semi").select(*rows.columns)
+    wanted = counted.select(*keys, *carry, F.explode(slots).alias("slot"))
+    how = "inner" if carry else "left_semi"
+    return dealt.withColumn("slot", slot).join(wanted, [*keys, "slot"], how).select(*rows.columns, *carry)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -3,16 +3,20 @@
 Every document is both parsed and part of the reference.  The reference is indexed by blocks
 whose borders follow the content: windows of ``window`` words whose smallest ``anchor``-word
 gram is the same gram make one block, so equal passages are cut into equal blocks wherever
-they stand.  A document is parsed block by block: consecutive blocks that the index holds
-elsewhere extend the current factor.  A factor ends inside the first block that is not held
-whole; if the index knows that block's anchor, its windows are looked up one by one there, at
-the factor's boundary.  Factors are thus found to the word, and every window in one goes.
+they stand.  The index holds two occurrences of a block, the first and the last of all.
+
+A document is parsed greedily from its first block on: a factor holds all places of the index
+that its blocks can be copied from and goes on while one of them does.  At a factor's boundary,
+in a block that is not held whole but whose anchor is known, windows are looked up one by one,
+so factors end at the word where the copy ends.  Neighbouring factors overlap by what a window
+reaches over, so that every factor has ``window`` words or more and none of a copy is left over.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -167,19 +171,28 @@ def window_rows(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, th int, place long, whole boolean, w long")
 
 
-def factors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """(doc_id, th, place): runs of windows of ``docs`` (doc_id, th, text) that also start elsewhere.
+def other(first: str = "first", last: str = "last"):
+    """Columns s1, s2: the places ``first`` and ``last``, or the one of them that is not the row's own."""
+    own = {name: F.col(name) == F.struct(*KEY, "place") for name in (first, last)}
+    return (
+        F.when(own[first], F.col(last)).otherwise(F.col(first)).alias("s1"),
+        F.when(own[last], F.col(first)).otherwise(F.col(last)).alias("s2"),
+    )
+
+
+def copies(docs: DataFrame, window: int, anchor: int) -> DataFrame:
+    """(doc_id, th, place, s1, s2): runs of windows of ``docs`` (doc_id, th, text) that also start at s1 and s2.
 
     All counts are folded before they are shuffled, and rows of a passage that very many
     documents hold are dealt to many tasks when they meet their counts.
     """
     by = [*KEY, "place"]
+    ends = F.min(F.struct(*by)).alias("first"), F.max(F.struct(*by)).alias("last")
     rows = cut(index_rows(docs, window, anchor))
     known = cut(rows.groupBy("a").agg(F.count("*").alias("c")).where("c > 1"))
     held = cut(among(rows, known, ["a"], by))
-    first = F.min(F.struct(*by)).alias("first")
-    distinct = cut(held.groupBy("a", "h").agg(F.count("*").alias("c"), first))
-    whole = among(held, distinct.where("c > 1").select("a", "h", "c"), ["a", "h"], by).select(*by)
+    distinct = cut(held.groupBy("a", "h").agg(F.count("*").alias("c"), *ends))
+    whole = among(held, distinct.where("c > 1"), ["a", "h"], by, ("first", "last")).select(*by, *other())
     # anchors with several blocks: where a factor ends inside one of them
     firsts = distinct.select("a", "first.*", (F.col("c") > 1).alias("whole"))
     open_ = cut(firsts.groupBy("a").agg(F.count("*").alias("c")).where("c > 1"))
@@ -187,17 +200,47 @@ def factors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     by_doc = edges.groupBy(*KEY).agg(F.collect_list(F.struct("place", "whole")).alias("edges"))
     windows = cut(window_rows(docs.join(by_doc, KEY), window))
     again = cut(windows.groupBy("w").agg(F.count("*").alias("c")).where("c > 1"))
-    return whole.union(among(windows, again, ["w"], by).where("not whole").select(*by))
+    met = cut(among(windows, again, ["w"], by))
+    sources = cut(met.groupBy("w").agg(F.count("*").alias("c"), *ends))
+    return whole.union(among(met, sources, ["w"], by, ("first", "last")).where("not whole").select(*by, *other()))
 
 
-def drop_repeats(docs: DataFrame, window: int = 35, anchor: int = 8) -> DataFrame:
-    """(doc_id, text, n_words, n_removed) of every row: ``text`` holds the words that stay, joined by a space.
+def parse(runs, window: int) -> list[tuple[int, int, tuple[int, int, int]]]:
+    """Greedy factors (start, length, (doc_id, th, start) of the source) of one document.
 
-    A word goes if one of the ``window``-word windows that cover it has a word sequence that
-    starts anywhere else as well, in the same row or another.  Words are runs of characters
-    other than ASCII white space, compared as they are.  Null and empty texts have none; rows
-    that share a doc_id are rows of their own, and equal texts are repeats of each other.
-    Runs are compared by 64-bit hashes, a block by its anchor's and its own together.
+    ``runs`` are (start, windows, sources): windows at ``start`` and the following words that
+    are copies of those at each source.  A factor goes on while a run follows without a gap and
+    shares a source with all runs before it; of several sources left at its end the least counts.
+    """
+    found, start, reach, alive = [], 0, -1, set()
+    for at, n, sources in sorted(runs):
+        here = {(doc, th, place - at) for doc, th, place in sources}
+        if at <= reach and not alive.isdisjoint(here):
+            alive &= here
+            reach = max(reach, at + n)
+            continue
+        if alive:
+            found.append((start, reach - start + window - 1, min(alive)))
+        start, reach, alive = at, at + n, here
+    if alive:
+        found.append((start, reach - start + window - 1, min(alive)))
+    return [(start, length, (doc, th, start + shift)) for start, length, (doc, th, shift) in found]
+
+
+NO_ID = -(2**63)  # stands for a null doc_id in keys
+RESULT = "doc_id long, text string, n_words long, n_removed long, factors array<struct<start:long,length:long,source:long,source_start:long>>"
+
+
+def drop_repeats(docs: DataFrame, window: int = 35, anchor: int = 8) -> DataFrame:
+    """(doc_id, text, n_words, n_removed, factors) of every row: ``text`` holds the words that stay, joined by a space.
+
+    A word goes if a factor covers it, and so if one of the ``window``-word windows that cover
+    it has a word sequence that starts anywhere else as well, in the same row or another.
+    ``factors`` are (start, length) in words with the doc_id and the word they can be copied
+    from, in order; a row without copies has none.  Words are runs of characters other than ASCII
+    white space, compared as they are.  Null and empty texts have none; rows that share a
+    doc_id are rows of their own, and equal texts are repeats of each other.  Runs are compared
+    by 64-bit hashes, a block by its anchor's and its own together.
     """
     if not 0 < anchor <= window < STEP:
         raise ValueError("the anchor must fit into the window")
@@ -205,28 +248,45 @@ def drop_repeats(docs: DataFrame, window: int = 35, anchor: int = 8) -> DataFram
     repeated = base.select("doc_id").groupBy("doc_id").count().where("count > 1").limit(1).count()
     # tells rows of one doc_id apart; no id repeats in most tables
     mark = F.hash("text") if repeated else F.lit(0)
-    base = base.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), mark.alias("th"), "text")
-    spans = factors(base, window, anchor).groupBy(*KEY).agg(F.collect_list("place").alias("places"))
-    joined = base.join(spans, KEY, "left")
+    base = base.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), mark.alias("th"), "text")
+    run_of = F.struct("place", *(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("s1", "s2") for c in (*KEY, "place")))
+    runs = copies(base, window, anchor).groupBy(*KEY).agg(F.collect_list(run_of).alias("runs"))
+    joined = base.join(runs, KEY, "left")
 
     def run(batches):
         for batch in batches:
-            texts, n_words, n_removed = [], [], []
-            for text, places in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist()):
+            texts, n_words, n_removed, parsed, ends = [], [], [], [], [0]
+            lists = batch.column("runs")
+            flat = [x.to_pylist() for x in lists.flatten().flatten()]
+            sizes, at = [n or 0 for n in pc.list_value_length(lists).to_pylist()], 0
+            for text, size in zip(batch.column("text").to_pylist(), sizes):
                 words = text.split()
                 n = len(words)
-                if places:
-                    places = np.array(places)
-                    edge = np.bincount(places // STEP, minlength=n + 1) - np.bincount(places // STEP + places % STEP + window - 1, minlength=n + 1)
+                if size:
+                    place, d1, t1, p1, d2, t2, p2 = (x[at : at + size] for x in flat)
+                    at += size
+                    found = parse(
+                        [(p // STEP, p % STEP, ((a, b, c // STEP), (d, e, f // STEP))) for p, a, b, c, d, e, f in zip(place, d1, t1, p1, d2, t2, p2)],
+                        window,
+                    )
+                    edge = np.zeros(n + 1, np.int64)
+                    for start, length, _ in found:
+                        edge[start] += 1
+                        edge[start + length] -= 1
                     stay = np.flatnonzero(np.cumsum(edge[:n]) == 0).tolist()
                     words = [words[i] for i in stay]
+                    parsed += [(start, length, None if doc == NO_ID else doc, place) for start, length, (doc, _, place) in found]
+                ends.append(len(parsed))
                 texts.append(b" ".join(words))
                 n_words.append(n)
                 n_removed.append(n - len(words))
-            ids = [None if d == -(2**63) else d for d in batch.column("doc_id").to_pylist()]
+            ids = [None if d == NO_ID else d for d in batch.column("doc_id").to_pylist()]
+            names = ["start", "length", "source", "source_start"]
+            fields = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (zip(*parsed) if parsed else [()] * 4)], names)
             yield pa.record_batch(
-                [pa.array(ids, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())],
-                ["doc_id", "text", "n_words", "n_removed"],
+                [pa.array(ids, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), fields)],
+                ["doc_id", "text", "n_words", "n_removed", "factors"],
             )
 
-    return joined.mapInArrow(run, "doc_id long, text string, n_words long, n_removed long")
+    return joined.mapInArrow(run, RESULT)
