@@ -1,12 +1,13 @@
 """Rows without ids, repeated ids, and inputs that grow without bound, for the corpus operators."""
 
+import random
 import time
 
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from threadlytics.llm import lines, pages, quantisation, simhash, topk
+from threadlytics.llm import credentials, lines, pages, quantisation, simhash, topk
 
 VECTORS = "vec_id long, embedding array<double>"
 
@@ -67,3 +68,35 @@ def test_open_elements_cost_no_more_than_their_number():
 def test_a_paragraph_ends_the_one_before_whatever_is_open_in_it():
     weights = pages.Weights({})
     assert pages.main_text("<body><p>one <b><i><u><em>two<p>three</body>", weights) == "one two\nthree"
+
+
+def test_many_spans_of_a_long_text_take_linear_time():
+    text = ("é token=abcdefgh1 " + "Zq9" * 4 + " 0123456789abcdef01234567 xK3pQ9vLm2Rt8Wz4Yb6N\n").encode() * 10_000
+    ratio = credentials.Ratio(*credentials.np.ones((2, credentials.N**2)))
+    began = time.time()
+    base = credentials.base_spans(text)
+    every = credentials.all_spans(text, base, ratio, -1.0, -1.0)
+    told = credentials.written(text, every)
+    assert time.time() - began < 4 and len(base) == 20_000 and len(every) == 30_000
+    whole = text.decode()
+    for span in told.split(",")[::997]:
+        kind, a, b = span.split(":")
+        assert whole[int(a) : int(b)] == {"assign": "token=abcdefgh1", "hex": "0123456789abcdef01234567", "markov": "xK3pQ9vLm2Rt8Wz4Yb6N"}[kind]
+
+
+@pytest.mark.parametrize("queries", [16384, 3])
+def test_best_rows_over_many_blocks_and_parts(spark, monkeypatch, queries):
+    """Blocks of a few rows, a third of them one repeated row, and queries whose length few rows have."""
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERIES", queries)
+    rng = random.Random(5)
+    rows = [(i % 70, [rng.randint(-9, 9) for _ in range(4)]) for i in range(90)] + [(77, [1, 2, 3, 4])] * 45 + [(80, [5, 5]), (81, [1, 2]), (82, [3])]
+    frame = spark.createDataFrame(rows, "vec_id long, v array<long>").repartition(4)
+    asked = {i: v for i, v in rows if i in (17, 37, 57, 77, 80, 81, 82)}
+    got = topk.top_k(frame, spark.createDataFrame(list(asked.items()), "vec_id long, v array<long>"), k=5)
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for q, own in asked.items():
+        best = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in rows if i != q and len(v) == len(own))[:5]
+        assert sorted(found.get(q, [])) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -127,10 +129,13 @@ def train(docs: DataFrame, sample: int = 4000) -> Ratio:
 def all_spans(text: bytes, base: list[tuple[int, int, int]], ratio: Ratio, threshold: float, per_char: float):
     """``base`` and the candidates outside of it that look random by the models."""
     found = []
+    starts = [x for x, _, _ in base]
+    ends = list(accumulate((y for _, _, y in base), max))  # the furthest end so far
     for at, word in long_words(text, LONG):
         for m in CANDIDATE.finditer(word):
             a, b = at + m.start(), at + m.end()
-            if any(a < y and x < b for x, _, y in base):
+            before = bisect_left(starts, b)
+            if before and ends[before - 1] > a:
                 continue
             score = ratio(m[0])
             if score >= threshold and score >= per_char * (len(m[0]) - 1):
@@ -142,8 +147,11 @@ def written(text: bytes, spans) -> str:
     """kind:start:end in code points, comma-joined."""
     if not spans:
         return ""
-    place = (lambda x: x) if text.isascii() else (lambda x: len(text[:x].decode("utf-8", "replace")))
-    return ",".join(f"{KINDS[k]}:{place(a)}:{place(b)}" for a, k, b in spans)
+    if not text.isascii():
+        opening = (np.frombuffer(text, np.uint8) & 0xC0) != 0x80  # first bytes of code points
+        places = np.concatenate(([0], np.cumsum(opening)))
+        spans = [(places[a], k, places[b]) for a, k, b in spans]
+    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
 def scan(docs: DataFrame, ratio: Ratio, threshold: float = 20.0, per_char: float = 2.0) -> DataFrame:
