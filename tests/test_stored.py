@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from threadlytics.operators import aggregates, maintenance, mentions, scoring, stored, threads
 from threadlytics.operators.spread import hot_keys, join_spread
 from threadlytics.schemas import RAW_COMMENTS, RAW_POSTS, TICKERS
-from threadlytics.sources import adapters, landing, symbols
+from threadlytics.sources import adapters, days, landing, symbols
 from threadlytics.streaming import jobs
 
 
@@ -335,3 +335,27 @@ def test_symbols_written_in_rows(spark, tmp_path):
     plan = plan_of(symbols.symbol_rows(listed, 2.0)) + plan_of(aggregates.ticker_list(mentions.posts_with_tickers(
         spark.createDataFrame([], "reddit_id string, title string, score int"), spark.createDataFrame([], "kind string, content_reddit_id string, ticker string, confidence double, method string"))))
     assert "collect_list" not in plan
+
+
+def test_contents_by_day_open_the_days_of_a_range_only(spark, tmp_path):
+    path = str(tmp_path / "by_day")
+    rows = spark.sql("""select id, timestamp'2024-01-01 22:00:00' + make_interval(0, 0, 0, 0, cast(id as int)) as created_utc, 'mine' as note from range(96)
+        union all select 1000 + id, null, 'timeless' from range(3)""")
+    days.write_days(rows, path)
+    assert sorted(os.path.basename(d) for d in glob.glob(f"{path}/day=*")) == [*(f"day=2024-01-0{d}" for d in range(1, 6)), "day=__HIVE_DEFAULT_PARTITION__"]
+    some = days.read_days(spark, path, rows.schema, "2024-01-02", "2024-01-04 06:00:00")
+    assert values(some, "id") == sorted([(i,) for i in range(2, 56)], key=repr) and some.columns == rows.columns
+    assert {f.split("day=")[1][:10] for (f,) in some.select(F.input_file_name()).collect()} == {"2024-01-02", "2024-01-03", "2024-01-04"}
+    assert "PartitionFilters: [isnotnull(day" in plan_of(some)
+    assert days.read_days(spark, path, rows.schema, "2025-01-01", "2025-02-01").count() == 0
+
+    before = files_at(path)
+    days.write_days(rows.filter("id between 2 and 25 and id <> 7").withColumn("note", F.lit("new")), path)
+    after = files_at(path)
+    assert {f for f in before if "2024-01-02" not in f} == {f for f in after if "2024-01-02" not in f} and not {f for f in before if "2024-01-02" in f} & set(after)
+    listed = spark.createDataFrame([("2024-01-02",), ("2024-01-02",), (None,), ("1999-01-01",)], "day string")
+    again = days.read_listed_days(spark, path, rows.schema, listed)
+    assert values(again, "id", "note") == sorted([(i, "new") for i in range(2, 26) if i != 7], key=repr)
+    assert "dynamicpruning" in plan_of(again)
+    days.write_days(rows.limit(0), path)
+    assert set(files_at(path)) == set(after)

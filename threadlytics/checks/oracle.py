@@ -431,7 +431,11 @@ DAILY = """days as (select unnest(range(date '2024-01-01', date '2024-01-12', in
     (select count(*) from hits h where h.day = days.day) as mentions,
     (select count(*) from hits h where h.day = days.day and method = 'contextual_inheritance') as inherited
     from days)"""
-define("backfill_daily", "content mentions", f", {DAILY} select * from daily")
+for name in ("backfill_daily", "backfill_stored_days"):
+    define(name, "content mentions", f", {DAILY} select * from daily")
+define("contents_of_listed_days", "content", """select kind, strftime(created_utc, '%Y-%m-%d') as day,
+  count(*) as contents, count(distinct reddit_id) as ids from content
+  where cast(created_utc as date) in (date '2024-01-03', date '2024-01-09') group by all""")
 define("backfill_totals", "content mentions", f""", {DAILY} select count(*) as days,
   cast(sum(items) as bigint) as items, cast(sum(mentions) as bigint) as mentions,
   cast(sum(inherited) as bigint) as inherited from daily""")

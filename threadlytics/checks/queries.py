@@ -36,7 +36,7 @@ from threadlytics.schemas import (
     TICKERS,
 )
 from threadlytics.session import SETTINGS, cut_lineage, shared_dir
-from threadlytics.sources import adapters, landing, symbols as symbol_files
+from threadlytics.sources import adapters, days, landing, symbols as symbol_files
 from threadlytics.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -661,6 +661,29 @@ def backfill_daily(spark, sf_dir):
     return _backfill(spark, sf_dir).withColumn("day", F.col("day").cast("string"))
 
 
+def _by_day(spark, sf_dir):
+    """The contents laid out by day: the folder and their schema."""
+    path, rows = folder(spark), content(spark, sf_dir)
+    days.write_days(rows, path)
+    return path, rows.schema
+
+
+@query
+def backfill_stored_days(spark, sf_dir, start="2024-01-01", end="2024-01-12"):
+    rows = days.read_days(spark, *_by_day(spark, sf_dir), start, end)
+    result = backfill.backfill(rows, adapters.symbols(spark), start, end, _on_record(spark, sf_dir))
+    return backfill.daily_report(result, start, end).withColumn("day", F.col("day").cast("string"))
+
+
+@query
+def contents_of_listed_days(spark, sf_dir):
+    listed = spark.createDataFrame([("2024-01-03",), ("2024-01-09",), ("1999-01-01",), (None,)], "day string")
+    rows = days.read_listed_days(spark, *_by_day(spark, sf_dir), listed)
+    return rows.groupBy("kind", F.to_date("created_utc").cast("string").alias("day")).agg(
+        F.count("*").alias("contents"), F.countDistinct("reddit_id").alias("ids")
+    )
+
+
 @query
 def backfill_totals(spark, sf_dir):
     return backfill.report_totals(_backfill(spark, sf_dir))
