@@ -2,7 +2,8 @@
 
 A page is a sequence of tags and words.  Words score positive and tags negative; the weights
 come from pages that mark their content.  One linear scan finds the contiguous region of the
-highest total; words of elements known as boilerplate inside it are left out.
+highest total; inside it, blocks named as boilerplate are left out, and blocks of links as far as
+the marked pages have such blocks outside their content.
 """
 
 from __future__ import annotations
@@ -41,80 +42,119 @@ ASIDE = set(
     "popup promo promoted promotion related share sharing sidebar signup social sponsor sponsored subscribe toolbar "
     "widget".split()
 )
+# Elements that hold blocks; p, li, headings and cells count as text of the element around them.
+CONTAINERS = (BLOCK | FRAME) - set("caption center dd dt figcaption h1 h2 h3 h4 h5 h6 hr li p pre summary tbody td tfoot th thead tr".split())
 CONTENT = ("article", "main")
 INSIDE, OUTSIDE = 1.0, 0.0  # words that do not count for a region are not part of its text either
 PLAIN = -0.2  # a tag that content has too
+LINKS = 3  # fewer links are no menu
 
 
-def key_of(name: str, attrs: str) -> tuple[str, bool] | None:
-    """What words of an element are counted under, and whether its name alone tells boilerplate.
+class Place:
+    """An element that holds text of its own: whether its name tells boilerplate, its words and links."""
 
-    Elements that say nothing of their part of the page give None: their words count for the
-    element around them.
-    """
-    words = set()
-    if attrs and "=" in attrs:
-        for m in CLASSES.finditer(attrs):
-            words.update(SPLIT.split((m[1] or m[2] or m[3] or "").lower()))
-    words.discard("")
-    if name in FRAME:
-        return name, True
-    if words & ASIDE:
-        return f"{name}." + ".".join(sorted(words & ASIDE)), True
-    if name in CONTENT or name in ("body", "section"):
-        return name, False
-    return None
+    __slots__ = ("named", "words", "linked", "links")
+
+    def __init__(self, named: bool):
+        self.named = named
+        self.words = self.linked = self.links = 0
+
+    def share(self) -> int:
+        """Tenths of the words that are links; 0 if it has few links."""
+        return 10 * self.linked // self.words if self.links >= LINKS and self.words else 0
 
 
 class OpenElements:
-    """The elements that are open at a place, each with the key that words in it count under.
+    """The elements that are open at a spot, each with the place that text in it belongs to.
 
-    Places are kept by name, so that finding what an end tag closes does not depend on how many
+    Elements are also kept by name, so that finding what an end tag closes does not depend on how many
     elements are open.
     """
 
     def __init__(self):
         self.names: list[str] = []
-        self.keys: list[tuple[str, bool]] = []
+        self.places: list[Place] = []
         self.at: dict[str, list[int]] = {}
-        self.blocks: list[int] = []  # places of block elements other than p
-
-    def key(self) -> tuple[str, bool]:
-        return self.keys[-1] if self.keys else ("", False)
+        self.blocks: list[int] = []  # block elements other than p
+        self.top = Place(False)
+        self.in_link = False
+        self.content_seen = False
+
+    def place(self) -> Place:
+        return self.places[-1] if self.places else self.top
+
+    def named(self, name: str, attrs: str) -> bool | None:
+        """Whether an element is boilerplate by its name, class, id or role; None if it is no place of its own.
+
+        Inline elements are part of the text around them, whatever their class.  The first article or
+        main element of a page is content wherever it stands, and a header inside it belongs to it.
+        """
+        if name in CONTENT and not self.content_seen:
+            self.content_seen = True
+            return False
+        if name not in BLOCK and name not in FRAME:
+            return None
+        words = set()
+        if "=" in attrs and name not in ("html", "body"):
+            for m in CLASSES.finditer(attrs):
+                words.update(SPLIT.split((m[1] or m[2] or m[3] or "").lower()))
+        aside, frame = words & ASIDE, name in FRAME
+        if any(self.at.get(c) for c in CONTENT):
+            aside, frame = aside - {"header"}, frame and name != "header"
+        if aside or frame or self.place().named:
+            return True
+        return False if name in CONTAINERS else None
 
     def start(self, name: str, attrs: str) -> None:
         if name == "p" and self.at.get("p") and (not self.blocks or self.blocks[-1] < self.at["p"][-1]):
             self.end("p")
         if name in VOID or attrs.endswith("/"):
             return
-        place = len(self.names)
-        self.keys.append(key_of(name, attrs) or self.key())
+        named = self.named(name, attrs)
+        place = self.place() if named is None else Place(named)
+        if name == "a":
+            self.in_link = True
+            place.links += 1
+        elif named is not None:
+            self.in_link = False
+        spot = len(self.names)
+        self.places.append(place)
         self.names.append(name)
-        self.at.setdefault(name, []).append(place)
+        self.at.setdefault(name, []).append(spot)
         if name in BLOCK and name != "p":
-            self.blocks.append(place)
+            self.blocks.append(spot)
 
     def end(self, name: str) -> None:
         """Close the last open element of the name and all that are open inside it; none, if there is none."""
+        if name == "a" or name in CONTAINERS:
+            self.in_link = False
         if not self.at.get(name):
             return
-        for place in range(len(self.names) - 1, self.at[name][-1] - 1, -1):
+        for spot in range(len(self.names) - 1, self.at[name][-1] - 1, -1):
             self.at[self.names.pop()].pop()
-            self.keys.pop()
-            if self.blocks and self.blocks[-1] == place:
+            self.places.pop()
+            if self.blocks and self.blocks[-1] == spot:
                 self.blocks.pop()
 
 
-def tokens(page: str):
-    """Yield (tag, key, own, text): tags as 'name' or '/name' with text None; else text between tags.
+def tokens(page: str) -> list[tuple[str | None, Place, str | None]]:
+    """(tag, place, text) in order: tags as 'name' or '/name' with text None; else text between tags.
 
-    ``key`` is that of the nearest element with one, ``own`` whether it is boilerplate by name.
+    The counts of a place are whole once all tokens are read.
     """
     opened = OpenElements()
+    found = []
+
+    def add(text: str) -> None:
+        place, n = opened.place(), len(text.split())
+        place.words += n
+        place.linked += n * opened.in_link
+        found.append((None, place, text))
+
     at = 0
     for m in TOKEN.finditer(page):
         if m.start() > at:
-            yield None, *opened.key(), page[at : m.start()]
+            add(page[at : m.start()])
         at = m.end()
         if not (name := m["name"]):
             continue
@@ -123,35 +163,41 @@ def tokens(page: str):
             opened.end(name)
         else:
             opened.start(name, m["attrs"])
-        yield m["close"] + name, *opened.key(), None
+        found.append((m["close"] + name, opened.place(), None))
     if at < len(page):
-        yield None, *opened.key(), page[at:]
+        add(page[at:])
+    return found
 
 
 class Weights:
-    """Scores of tags and of words by the element they stand in."""
+    """Scores of tags, and of words by the share of links in their place.
+
+    ``counts`` gives (words or tags inside, outside) of marked content.  Before any are seen, places
+    of links for the most part are held for menus, and all others for content.
+    """
 
     def __init__(self, counts: dict[tuple[str, str], tuple[int, int]]):
-        self.tags, self.words = {}, {}
+        self.tags = {}
+        self.shares = [INSIDE if tenth < 6 else OUTSIDE for tenth in range(11)]
         for (kind, name), (inside, outside) in counts.items():
             odds = float(np.log((inside + 0.5) / (outside + 0.5)))
             if kind == "tag":
                 self.tags[name] = PLAIN if inside >= 0.02 * outside else max(-9.0, odds)
-            elif inside + outside >= 5:
-                self.words[name] = INSIDE if odds > 0 else OUTSIDE
+            elif int(name) and inside + outside >= 50:
+                self.shares[int(name)] = INSIDE if odds > 0 else OUTSIDE
 
     def tag(self, name: str) -> float:
         return self.tags.get(name, PLAIN)
 
-    def word(self, key: str, own: bool) -> float:
-        return OUTSIDE if own else self.words.get(key, INSIDE)
+    def word(self, place: Place) -> float:
+        return OUTSIDE if place.named else self.shares[place.share()]
 
 
 def count_page(page: str) -> Counter:
     """(kind, name, inside) counts of a page that marks its content by one article or main element."""
     counts: Counter = Counter()
     inside = False
-    for tag, key, _, text in tokens(page):
+    for tag, place, text in tokens(page):
         if tag in CONTENT:
             counts["tag", tag, False] += 1
             inside = True
@@ -161,7 +207,7 @@ def count_page(page: str) -> Counter:
         elif tag:
             counts["tag", tag, inside] += 1
         else:
-            counts["word", key, inside] += len(text.split())
+            counts["share", str(place.share()), inside] += len(text.split())
     return counts
 
 
@@ -208,18 +254,18 @@ def main_text(page: str | None, weights: Weights) -> str:
     """Blocks of the best region in page order, one a line, white space inside a block as one space."""
     if not page:
         return ""
-    found = list(tokens(page))
-    scores = [weights.tag(t) if t else weights.word(k, own) * len(x.split()) for t, k, own, x in found]
+    found = tokens(page)
+    scores = [weights.tag(t) if t else weights.word(place) * len(x.split()) for t, place, x in found]
     start, end = region(scores)
     blocks, line = [], []
-    for tag, key, own, text in found[start:end]:
+    for tag, place, text in found[start:end]:
         if tag:
             if tag.lstrip("/") in BLOCK:
                 blocks.append("".join(line))
                 line = []
             elif tag == "br":
                 line.append(" ")
-        elif weights.word(key, own) > 0:
+        elif weights.word(place) > 0:
             line.append(html.unescape(text))
     blocks.append("".join(line))
     return "\n".join(b for b in (" ".join(x.split()) for x in blocks) if b)
