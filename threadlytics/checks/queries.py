@@ -451,7 +451,7 @@ def sample_comments(spark, sf_dir):
 
 @query
 def unanalyzed_items(spark, sf_dir):
-    return direct.unanalyzed(content(spark, sf_dir), found(spark, sf_dir)).select(
+    return direct.unanalyzed(content(spark, sf_dir), cut_lineage(found(spark, sf_dir))).select(
         "kind", "reddit_id"
     )
 
@@ -504,7 +504,7 @@ def mentions_on_arrival(spark, sf_dir):
 def mentions_of_batch(spark, sf_dir):
     """The batch path: direct mentions of comments, when those of posts are on record."""
     posts, comments = adapters.posts(spark, sf_dir), adapters.comments(spark, sf_dir)
-    stored = found(spark, sf_dir).filter(F.col("kind") == "post")
+    stored = cut_lineage(found(spark, sf_dir).filter(F.col("kind") == "post"))
     result = analysis.analyze_stored(posts, comments, adapters.symbols(spark), stored)
     return result.mentions.select("kind", "content_reddit_id", "ticker", "span_start", "span_end")
 

@@ -16,6 +16,7 @@ from threadlytics.functions.tickers import (
     normal_symbol,
     ticker_candidates,
 )
+from threadlytics.operators.membership import not_on_record
 from threadlytics.schemas import MENTION_COLUMNS
 
 
@@ -200,9 +201,13 @@ def stored_mentions(mentions: DataFrame) -> DataFrame:
 
 
 def unanalyzed(content: DataFrame, mentions: DataFrame) -> DataFrame:
-    """Content without any mention of its kind."""
+    """Content without any mention of its kind.
+
+    Contents that a filter of the analysed ids does not know stay where they are, with their texts;
+    only the rest meets the record.
+    """
     seen = mentions.select("kind", F.col("content_reddit_id").alias("reddit_id"))
-    return content.join(seen, ["kind", "reddit_id"], "left_anti")
+    return not_on_record(content, seen, ["kind", "reddit_id"])
 
 
 def valid_tickers(df: DataFrame, symbols: DataFrame, column: str = "ticker") -> DataFrame:
