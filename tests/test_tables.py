@@ -279,3 +279,16 @@ def test_entry(spark):
 
     df = entry(spark)
     assert df.columns[0] == "ticker" and df.count() > 0
+
+
+def test_streams_read_tables_that_are_folders(spark, tmp_path, sf_dir):
+    """A table may be one file or a folder of them; a neighbour whose name begins alike is no part of it."""
+    from __spark_entry__ import queries
+
+    names = ["stream_upsert_posts", "stream_upsert_comments", "stream_mentions", "stream_contextual"]
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    turns.repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    turns.withColumn("conv_id", F.col("conv_id") + 1_000_000).write.parquet(str(tmp_path / "conversations.parquet2"))
+    for name in names:
+        got = queries()[name](spark, str(tmp_path))
+        assert values(got, *got.columns) == values(queries()[name](spark, sf_dir), *got.columns) != [], name

@@ -194,11 +194,12 @@ def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return (
-        spark.readStream.schema(table(spark, sf_dir, name).schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
-    )
+    """A table as a stream, be it one file or a folder of files.
+
+    The path is a pattern that only the table matches: a plain path would be the base of
+    partitions to the source of the stream, which has to be a folder.
+    """
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def _sql(spark: SparkSession, query: str, sf_dir: str, name: str, read=table) -> DataFrame:
