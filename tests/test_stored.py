@@ -8,12 +8,13 @@ import sys
 
 import pytest
 from conftest import ROOT, plan_of, values
-from pyspark.errors import PySparkException
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from threadlytics.operators import aggregates, maintenance, mentions, scoring, stored, threads
 from threadlytics.operators.spread import hot_keys, join_spread
 from threadlytics.schemas import RAW_COMMENTS, RAW_POSTS, TICKERS
+from threadlytics.session import shared_dir
 from threadlytics.sources import adapters, days, landing, symbols
 from threadlytics.streaming import jobs
 
@@ -258,6 +259,59 @@ def test_edits_take_back_tickers(spark, tmp_path):
     assert land(3, ("d", "nothing", 5)) == [("c", "AAPL")]
 
 
+def test_edits_survive_folding_and_a_batch_that_runs_again(spark, tmp_path, monkeypatch):
+    """An item of the folded versions stays known, one without an id too; what a failed attempt noted does not count."""
+    source, log, failed = str(tmp_path / "in"), str(tmp_path / "log"), []
+    listed = spark.createDataFrame([("AAPL", "Apple"), ("GME", "")], "symbol string, name string")
+    monkeypatch.setattr(jobs, "FOLD_EVERY", 2)
+    append = jobs.append_batch
+
+    def append_batch(path):
+        def write(batch, batch_id):
+            append(path)(batch, batch_id)
+            if path.endswith("versions") and batch_id == 3 and not failed:
+                failed.append(batch_id)
+                raise RuntimeError("lost")
+
+        return write
+
+    monkeypatch.setattr(jobs, "append_batch", append_batch)
+
+    def land(no, *items):
+        rows = [("post", i, i, text, at) for i, text, at in items]
+        spark.createDataFrame(rows, CONTENT).withColumn("created_utc", F.lit("2024-01-01").cast("timestamp")).coalesce(1).write.parquet(f"{source}/no={no}")
+        stream = spark.readStream.schema(spark.read.parquet(f"{source}/no=0").schema).parquet(f"{source}/*")
+        try:
+            jobs.edited_mentions(stream, listed, log, f"{log}-marks").awaitTermination()
+        except StreamingQueryException:
+            jobs.edited_mentions(stream, listed, log, f"{log}-marks").awaitTermination()
+        return values(jobs.current_edited_mentions(spark, log), "content_reddit_id", "ticker")
+
+    def analysed():
+        return spark.read.parquet(f"{log}/{jobs.BATCH}=*").where("ticker is null").count()
+
+    assert land(0, ("a", "AAPL", 1), ("b", "GME", 1), (None, "GME", 1)) == [("a", "AAPL"), ("b", "GME")]
+    assert land(1, ("a", "AAPL", 2), ("b", "AAPL", 2), (None, "GME", 2)) == [("a", "AAPL"), ("b", "AAPL")]
+    assert analysed() == 4
+    assert land(2, ("a", "AAPL", 3), ("b", "AAPL", 3)) == [("a", "AAPL"), ("b", "AAPL")]
+    assert analysed() == 4
+    assert land(3, ("a", "GME", 4), ("b", "AAPL", 1)) == [("a", "GME"), ("b", "AAPL")]
+    assert failed and analysed() == 5
+    assert land(4, ("a", "GME", 5), ("c", "GME", 1)) == [("a", "GME"), ("b", "AAPL"), ("c", "GME")]
+    assert analysed() == 6
+
+
+def test_edits_take_a_batch_a_core_whatever_the_files(spark, tmp_path, sf_dir):
+    from __spark_entry__ import queries
+
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").where("conv_id % 10 < 2")
+    turns.repartition(7).write.parquet(str(tmp_path / "conversations.parquet"))
+    before = set(glob.glob(f"{shared_dir(spark)}/run-*"))
+    queries()["stream_edits"](spark, str(tmp_path))
+    (run,) = set(glob.glob(f"{shared_dir(spark)}/run-*")) - before
+    assert 3 <= len(glob.glob(f"{run}/log/{jobs.BATCH}=*")) <= 3 * spark.sparkContext.defaultParallelism
+
+
 # Ledgers
 
 

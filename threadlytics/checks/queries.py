@@ -870,9 +870,9 @@ def stream_edits(spark, sf_dir):
     first = content(spark, sf_dir)
     for landing_no in (1, 2, 3):
         text = F.expr(adapters.EDITS[landing_no]) if landing_no > 1 else F.col("text")
-        first.withColumn("text", text).withColumn("landed_at", F.lit(landing_no)).write.parquet(
-            f"{run}/landed/no={landing_no}"
-        )
+        landed = first.withColumn("text", text).withColumn("landed_at", F.lit(landing_no))
+        # A file is a batch, and each batch has a fixed cost: a landing has a file a core at most.
+        landed.coalesce(spark.sparkContext.defaultParallelism).write.parquet(f"{run}/landed/no={landing_no}")
         if landing_no > 1:
             stream = spark.readStream.schema(
                 first.withColumn("landed_at", F.lit(1)).schema

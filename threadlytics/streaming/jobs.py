@@ -8,14 +8,12 @@ is there into a base table now and then.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState
 
 from threadlytics.operators import aggregates, mentions as direct
 from threadlytics.operators.filters import analyzable
@@ -169,31 +167,14 @@ def current_mentions(spark: SparkSession, path: str) -> DataFrame:
     return FOLDS["mentions"](_begun(spark, path))
 
 
-# State of an item: the version that was analysed last.
-VERSION = "digest string, version long"
+ITEM = ["kind", "reddit_id"]
+# Batches after which the versions of an edits job are folded by item.
+FOLD_EVERY = 20
 
 
-def _changed(names: list[str], order: str):
-    """Per item: its last row of the batch, if its text is not the one analysed last.
-
-    Only the row that stays is handed on; state is a digest and the order value of an item.
-    """
-
-    def last_version(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = None
-        for rows in batches:
-            known = rows if last is None else pd.concat([last, rows])
-            last = known.sort_values(order, kind="stable", na_position="first").tail(1)
-        digest = last["digest"].iloc[0]
-        version = -1 if pd.isna(last[order].iloc[0]) else int(last[order].iloc[0])
-        before = state.get if state.exists else (None, -1)
-        if version < before[1]:
-            return
-        state.update((digest, version))
-        if digest != before[0]:
-            yield last[names]
-
-    return last_version
+def _meet(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join on the item; ``right`` names it kind_ and reddit_id_.  A missing id is an item as well."""
+    return left.join(right, [left[k].eqNullSafe(right[f"{k}_"]) for k in ITEM], how)
 
 
 def edited_mentions(
@@ -202,23 +183,40 @@ def edited_mentions(
     """Direct mentions of contents that land again and again, edited or not.
 
     ``order``, a number from 0 on, tells which landing of an item is the last, in a batch and
-    over all of them.  Keyed state holds a digest of the text that was analysed last, so an
-    unchanged item costs a look-up, across restarts.  A batch logs one row without a ticker for
-    every item it analysed, beside the mentions: that takes back the tickers of earlier versions,
-    also when an edit, a removal or a blank text leaves none.
+    over all of them.  The checkpoint holds a log of the versions seen: a digest of the text and
+    the order value of an item.  A batch looks up its own items there, so that an unchanged one is
+    not analysed again, across restarts.  A batch logs one row without a ticker for every item it
+    analysed, beside the mentions: that takes back the tickers of earlier versions, also when an
+    edit, a removal or a blank text leaves none.
     """
-    handed = stream.withColumns({order: F.col(order).cast("long"), "digest": F.md5(F.coalesce("text", F.lit("")))})
-    changed = handed.groupBy("kind", "reddit_id").applyInPandasWithState(
-        _changed(stream.columns, order), handed.drop("digest").schema, VERSION, "append", "NoTimeout"
-    )
+    versions = f"{checkpoint}/versions"
 
     def analyze(batch: DataFrame, batch_id: int) -> None:
-        items = cut_lineage(batch)
-        found = direct.direct_mentions(analyzable(items), _now(symbols, batch.sparkSession))
-        seen = items.select("kind", F.col("reddit_id").alias("content_reddit_id"))
-        append_batch(path)(found.unionByName(seen, allowMissingColumns=True), batch_id)
+        spark = batch.sparkSession
+        _remove(spark, f"{versions}/{BATCH}={batch_id}")  # of an attempt that failed
+        if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
+            compact(spark, versions, FOLDS["versions"])
+        rows = cut_lineage(
+            latest_per_key(batch.withColumn(order, F.col(order).cast("long")), ITEM, [order]).withColumns(
+                {"digest": F.md5(F.coalesce("text", F.lit(""))), "version": F.coalesce(order, F.lit(-1))}
+            )
+        )
+        seen = items = rows.where("version >= -1")
+        known = read_log(spark, versions)
+        if known is not None:
+            own = rows.select(*[F.col(k).alias(f"{k}_") for k in ITEM])
+            before = FOLDS["versions"](_meet(known, own, "left_semi")).select(
+                *[F.col(k).alias(f"{k}_") for k in ITEM], F.col("digest").alias("digest_"), F.col("version").alias("version_")
+            )
+            met = _meet(rows, before, "left").where(F.col("version") >= F.coalesce("version_", F.lit(-1)))
+            seen, items = met, met.where(F.col("digest_").isNull() | (F.col("digest") != F.col("digest_")))
+        items = cut_lineage(items.select(*stream.columns))
+        found = direct.direct_mentions(analyzable(items), _now(symbols, spark))
+        analysed = items.select("kind", F.col("reddit_id").alias("content_reddit_id"))
+        append_batch(path)(found.unionByName(analysed, allowMissingColumns=True), batch_id)
+        append_batch(versions)(seen.select(*ITEM, "digest", "version"), batch_id)
 
-    return run(changed, analyze, checkpoint)
+    return run(stream, analyze, checkpoint)
 
 
 def _last_versions(log: DataFrame) -> DataFrame:
@@ -293,6 +291,7 @@ FOLDS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "comments": _latest("comments"),
     "mentions": lambda log: direct.best_mentions(log.drop(BATCH)),
     "edited_mentions": _last_versions,
+    "versions": lambda log: latest_per_key(log, ITEM, [BATCH]).drop(BATCH),
     "daily_stats": lambda log: aggregates.fold_daily(log.drop(BATCH)),
     "ticker_totals": lambda log: aggregates.fold_totals(log.drop(BATCH)),
 }
