@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -544,3 +545,24 @@ def test_empty_tables(nothing):
 def test_digest_of_kept_text(docs):
     row = substring.drop_repeats(docs).select("text", F.sha2(F.col("text").cast("binary"), 256).alias("s")).head()
     assert row.s == hashlib.sha256(row.text.encode()).hexdigest()
+
+
+def test_word_encoder_encodes_a_letter_run_once():
+    """Ids are those of the tokenizer, however small the table; words that differ by case or marks share their runs."""
+    from threadlytics.llm.tokens import WordEncoder
+
+    texts = [
+        "Wort, wort. WORT!!! wort (wort) wort's", "", " \t\n\x0b\f\r ", "éÉ été, 12,5% x1 don't ñandú... \x85 \xa0a\x1cb",
+        "日本 🚀🚀 a🚀 İI Σς <|endoftext|>", "wort " * 50 + "lorem" * 200, "é ́a",
+    ] * 3
+    for most in (2, 800_000):
+        encoder = WordEncoder(public_tokenizers.path("word_bpe_49k.json"), most)
+        asked = []
+        encode = encoder._encode
+        encoder._encode = lambda batch: asked.extend(batch) or encode(batch)
+        got = [ids.tolist() for group in (2, 100) for ids in encoder.encode_batch(pa.array([t.encode() for t in texts]), group)]
+        want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert got == want * 2
+    assert sum(part.split().count("wort") for part in asked) == 1
+    bad = [ids.tolist() for ids in encoder.encode_batch(pa.array([b"a \xff\xfe b"]))]
+    assert bad == [encode(["a �� b"])[0]]

@@ -126,7 +126,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, eos: int = 2, ro
             return out
 
         for b in batches:
-            for doc, ids in zip(b.column(0).to_pylist(), encoder.encode_batch(b.column(1).to_pylist())):
+            for doc, ids in zip(b.column(0).to_pylist(), encoder.encode_batch(b.column(1))):
                 for window in packer.add(doc, np.concatenate((ids, end))):
                     put(window)
                 if len(rows) >= 2000:
